@@ -106,4 +106,5 @@ def encode_bytes(text: Column) -> Column:
 def decode_bytes(ids: Column) -> Column:
     """Text of a byte-token array, separators left out."""
     kept = F.filter(ids, lambda t: t < BYTE_END)
-    return F.decode(F.unhex(F.array_join(F.transform(kept, lambda t: F.lpad(F.hex(t), 2, "0")), "")), "UTF-8")
+    raw = F.unhex(F.array_join(F.transform(kept, lambda t: F.lpad(F.hex(t), 2, "0")), ""))
+    return F.make_valid_utf8(raw.cast("string"))
