@@ -6,7 +6,7 @@ from importlib import import_module
 
 from loomframe.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = ("text",)
+MODULES = ("text", "chats", "scores")
 
 
 def all_queries() -> tuple[dict[str, Query], dict[str, str]]:
