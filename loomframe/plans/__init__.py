@@ -6,7 +6,7 @@ from importlib import import_module
 
 from loomframe.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = ("text", "chats", "scores")
+MODULES = ("text", "chats", "scores", "runs", "streams")
 
 
 def all_queries() -> tuple[dict[str, Query], dict[str, str]]:

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORPUS_SCHEMA = T.StructType(
-    [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())]
-)
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
+    """A parquet table as a stream of its files.
+
+    A stream refuses the plain path of a table that is a single file, so the path is given as a
+    pattern that matches only itself; it works for a folder of files just the same.
+    """
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return source.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def read_corpus(spark: SparkSession, path: str, text: str = "text", order: str = "doc_id", keep: tuple[str, ...] = (),
-                streaming_schema: T.StructType | None = None, files_per_trigger: int = 1) -> DataFrame:
+                streaming_schema: T.StructType | None = None) -> DataFrame:
     """Text documents; with a schema the same read as a stream."""
-    if streaming_schema is not None:
-        source = spark.readStream.schema(streaming_schema).option("maxFilesPerTrigger", files_per_trigger)
-        return source.parquet(path).select(order, text, *keep)
-    return spark.read.parquet(path).select(order, text, *keep)
+    table = spark.read.parquet(path) if streaming_schema is None else read_stream(spark, path, streaming_schema)
+    return table.select(order, text, *keep)
 
 
 def read_messages(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
