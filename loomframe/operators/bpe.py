@@ -1,24 +1,32 @@
 """Byte-pair encoding of a corpus with a vocabulary the user supplies.
 
-Text is cut into pieces by an expression, every distinct piece is merged once, and the ids are
-joined back to the occurrences. Only the merge of a single short piece runs in Python.
+Text is cut into pieces by an expression. One aggregation counts the pieces of the whole corpus and
+every frequent one is merged once; their ids are shipped to all tasks as a table of bounded size.
+Documents are then encoded where they are, with no shuffle: a batch looks up its distinct pieces and
+merges only the rare ones itself.
 """
 
 from __future__ import annotations
 
 import base64
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomframe.operators.joins import lookup
+from loomframe.session import cut_lineage
 
 # Fixed value: the public pre-tokenizer pattern of the byte-pair vocabularies this reads
 PIECE_PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY = 500_000
+# A piece is frequent if it makes up this share of all occurrences, so there are at most 1 / share.
+FREQUENT_SHARE = 1 / 200_000
+FREQUENT_CHARS = 64
 
 
 @dataclass(frozen=True)
@@ -46,53 +54,89 @@ class Vocabulary:
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         return cls(ranks, max(ranks.values()) + 1)
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(i, bytearray(t)) for t, i in self.ranks.items()]
-        return spark.createDataFrame(rows, "token_id int, bytes binary")
-
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Join the neighbouring pair of lowest rank until no pair is in the vocabulary."""
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-        if rank == len(ranks):
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
+    """Join the neighbouring pair of lowest rank, leftmost first, until no pair is in the vocabulary."""
+    size = len(piece)
+    after = list(range(1, size + 1))  # start of the next part
+    before = list(range(-1, size - 1))
+    pairs = [(ranks[p], i) for i in range(size - 1) if (p := piece[i : i + 2]) in ranks]
+    heapify(pairs)
+    while pairs:
+        rank, i = heappop(pairs)
+        j = after[i]
+        if j is None or j >= size or ranks.get(piece[i : after[j]]) != rank:
+            continue  # one of the two has been joined to something else
+        end = after[i] = after[j]
+        after[j] = None
+        if end < size:
+            before[end] = i
+            if (p := piece[i : after[end]]) in ranks:
+                heappush(pairs, (ranks[p], i))
+        if (left := before[i]) >= 0 and (p := piece[left:end]) in ranks:
+            heappush(pairs, (ranks[p], left))
+    ids, i = [], 0
+    while i < size:
+        ids.append(ranks[piece[i : after[i]]])
+        i = after[i]
+    return ids
 
 
 def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
 
 
-def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """``key, tokens`` with the end-of-text token last."""
-    spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(vocabulary.ranks)
+def frequent_pieces(docs: DataFrame, text: str, vocabulary: Vocabulary) -> dict[str, list[int]]:
+    """Ids of the pieces that make up most of the corpus."""
+    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def merged(piece: pd.Series) -> pd.Series:
         return piece.map(lambda p: merge(p.encode("utf-8"), shipped.value))
 
-    seen = docs.select(key, F.posexplode(pieces(F.col(text))).alias("pos", "piece"))
-    known = seen.select(F.col("piece").alias("known")).distinct().withColumn("ids", merged("known"))
-    found = lookup(seen, known, "piece", "known").groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts")
-    )
-    tokens = F.concat(F.flatten(F.transform("parts", lambda p: p["ids"])), F.array(F.lit(vocabulary.end)))
-    empty = docs.where(F.length(text) == 0).select(key, F.array(F.lit(vocabulary.end)).alias("tokens"))
-    return found.select(key, tokens.alias("tokens")).unionByName(empty)
+    seen = docs.select(F.explode(pieces(F.col(text))).alias("piece"))
+    counts = cut_lineage(seen.groupBy("piece").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = counts.where((F.col("n") >= total * FREQUENT_SHARE) & (F.char_length("piece") <= FREQUENT_CHARS))
+    return {row.piece: row.ids for row in often.select("piece", merged("piece").alias("ids")).collect()}
+
+
+def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
+    """``key, tokens`` with the end-of-text token last."""
+    sc = docs.sparkSession.sparkContext
+    ranks, known = sc.broadcast(vocabulary.ranks), sc.broadcast(frequent_pieces(docs, text, vocabulary))
+
+    def ids_of(column: pa.Array) -> pa.Array:
+        met = column.flatten().dictionary_encode()
+        ids = [known.value.get(w) or merge(w.encode("utf-8"), ranks.value) for w in met.dictionary.to_pylist()]
+        spelled = pa.array(ids, pa.list_(pa.int32())).take(met.indices)
+        return _regroup(column, spelled, spelled.flatten())
+
+    tokens = F.arrow_udf(ids_of, T.ArrayType(T.IntegerType()))(pieces(F.coalesce(text, F.lit(""))))
+    return docs.select(key, F.concat(tokens, F.array(F.lit(vocabulary.end))).alias("tokens"))
+
+
+def _regroup(rows: pa.Array, parts: pa.Array, values: pa.Array) -> pa.Array:
+    """``parts`` holds one list per element of ``rows``; give each row the values of its elements."""
+    per_part = np.concatenate([[0], np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False))])
+    per_row = np.concatenate([[0], np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(per_part[per_row].astype(np.int32)), values)
 
 
 def decode(encoded: DataFrame, key: str, vocabulary: Vocabulary) -> DataFrame:
     """``key, text`` of token arrays; the end-of-text token has no text."""
-    words = F.broadcast(vocabulary.table(encoded.sparkSession))  # its size is checked above
-    spelled = (
-        encoded.select(key, F.posexplode("tokens").alias("pos", "token_id"))
-        .join(words, "token_id", "left")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("bytes", F.lit(b"")).alias("bytes")))).alias("parts"))
-    )
-    text = F.array_join(F.transform("parts", lambda p: p["bytes"].cast("string")), "")
-    return spelled.select(key, F.make_valid_utf8(text).alias("text"))
+    words = [b""] * (max(vocabulary.end, *vocabulary.ranks.values()) + 1)
+    for token, rank in vocabulary.ranks.items():
+        words[rank] = token
+    shipped = encoded.sparkSession.sparkContext.broadcast(words)
+
+    def bytes_of(column: pa.Array) -> pa.Array:
+        spelled = pa.array(shipped.value, pa.binary()).take(column.flatten())
+        ends = np.frombuffer(spelled.buffers()[1], np.int32)[: len(spelled) + 1]
+        per_row = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+        return pa.Array.from_buffers(
+            pa.binary(), len(column), [None, pa.py_buffer(ends[per_row].astype(np.int32)), spelled.buffers()[2]]
+        )
+
+    raw = F.arrow_udf(bytes_of, T.BinaryType())(F.col("tokens"))
+    return encoded.select(key, F.make_valid_utf8(raw.cast("string")).alias("text"))

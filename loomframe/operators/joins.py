@@ -6,31 +6,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.operators.ordering import rows_per_range
+from loomframe.session import cut_lineage
+
+MAX_HOT_KEYS = 10_000
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
            rows: int | None = None) -> DataFrame:
-    """Join ``left`` to a ``right`` that is unique on ``right_key``.
+    """Join ``left`` to a ``right`` that is unique on ``right_key``; ``how`` is inner or left.
 
-    Keys that hold more than one range's worth of left rows are looked up in a broadcast of just
-    those right rows; there are at most ``rows / rows_per_range`` of them. All others are joined
-    by shuffle or broadcast as the optimizer sees fit.
+    A key that holds more than its share of the left rows is split by salt, and its right row is
+    copied once per salt, so no task gets more than one share of any key. The table of such keys
+    has at most ``MAX_HOT_KEYS`` rows whatever the size of the data. ``rows`` is an upper bound on
+    the left row count where the caller knows one.
     """
-    size = rows_per_range(left)
     total = left.count() if rows is None else rows
-    joined_on = F.col(left_key) == F.col(right_key)
-    if total <= size:
-        return left.join(right, joined_on, how)
-    hot = (
-        left.groupBy(F.col(left_key).alias("__hot")).count()
-        .where((F.col("count") > size) & F.col("__hot").isNotNull()).select("__hot")
+    share = max(rows_per_range(left), -(-total // MAX_HOT_KEYS))
+    matched = F.col(left_key) == F.col(right_key)
+    if total <= share:
+        return left.join(right, matched, how)
+    hot = cut_lineage(
+        left.groupBy(F.col(left_key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+        .where((F.col("__n") > share) & F.col("__hot").isNotNull())
+        .select("__hot", F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
+    )
+    if hot.isEmpty():
+        return left.join(right, matched, how)
+    hot = F.broadcast(hot)
+    cold = left.join(hot, F.col(left_key) == F.col("__hot"), "left_anti").join(right, matched, how)
+    salted = left.join(hot, F.col(left_key) == F.col("__hot")).withColumn(
+        "__salt", F.pmod(F.xxhash64(*left.columns), F.col("__salts")).cast("int")
+    )
+    copies = right.join(hot, F.col(right_key) == F.col("__hot")).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))
+    )
+    split = salted.drop("__hot", "__salts").join(
+        copies.drop("__hot", "__salts"), matched & (F.col("__salt") == F.col("__copy")), how
     )
-    keys = [r[0] for r in hot.collect()]  # at most total / size values
-    if not keys:
-        return left.join(right, joined_on, how)
-    hot_keys = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in keys], hot.schema))
-    is_hot = F.col(left_key) == F.col("__hot")
-    hot_right = right.join(hot_keys, F.col(right_key) == F.col("__hot"), "left_semi")
-    cold = left.join(hot_keys, is_hot, "left_anti").join(right, joined_on, how)
-    warm = left.join(hot_keys, is_hot, "left_semi").join(F.broadcast(hot_right), joined_on, how)
-    return cold.unionByName(warm)
+    return cold.unionByName(split.drop("__salt", "__copy"))

@@ -23,6 +23,7 @@ ROWS_PER_RANGE_CONF = "spark.loomframe.rowsPerRange"
 ROWS_PER_RANGE = 200_000
 MAX_RANGES = 20_000
 SAMPLES_PER_RANGE = 20
+BUCKET_ROWS = 8_192
 
 _RANGE = "__range"
 _MORE = "__earlier"
@@ -185,8 +186,10 @@ def trailing(
     consecutive positions and every bucket also receives the ``width - 1`` rows before it, so a
     hot group is spread over many tasks and each frame is complete.
     """
-    size = max(bucket_rows or rows_per_range(df), width)
-    own = F.floor(F.col(index) / F.lit(size))
+    if bucket_rows is not None and bucket_rows < width:
+        raise ValueError("a bucket must hold a whole frame")
+    size = bucket_rows or max(BUCKET_ROWS, 32 * width)
+    own = F.call_function("div", F.col(index), F.lit(size).cast("long"))
     tail = F.col(index) % size >= size - (width - 1)
     homes = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)) if width > 1 else F.array(own)
     window = (

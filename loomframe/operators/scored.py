@@ -98,17 +98,24 @@ def sample_items(logits: DataFrame, temperature: float, seed: int, k: int | None
     return weighted_draw(scaled, 1.0, seed)
 
 
-def trim_at_stop(tokens: Column, stop: list[int], end: int) -> Column:
-    """Tokens before the first complete stop sequence or end-of-text, whichever is complete first."""
+def trim_at_stop(df: DataFrame, tokens: str, stop: list[int], end: int) -> DataFrame:
+    """Cut ``tokens`` before the first complete stop sequence or end-of-text, whichever is complete first."""
     n = F.size(tokens)
-    width = len(stop)
-    starts = F.filter(
-        F.transform(F.filter(F.sequence(F.lit(0), n), lambda i: i <= n - width), lambda i: i),
-        lambda i: F.slice(tokens, i + 1, width) == F.array(*[F.lit(s) for s in stop]),
+    # as text ",5,17,9," a sequence of whole tokens is found by a plain substring search
+    spelled = F.concat(F.lit(","), F.array_join(F.col(tokens).cast("array<string>"), ","), F.lit(","))
+    before = F.substring_index("__spelled", "," + ",".join(map(str, stop)) + ",", 1)
+    found = F.length("__before") < F.length("__spelled")
+    # every token before the hit is led by a comma
+    stop_at = F.when(found, F.length("__before") - F.length(F.replace(F.col("__before"), F.lit(","), F.lit("")))).otherwise(n)
+    end_at = F.coalesce(F.nullif(F.array_position(tokens, end), F.lit(0).cast("long")).cast("int") - 1, n)
+    return (
+        df.withColumn("__spelled", spelled)
+        .withColumn("__before", before)
+        .withColumns({"__stop": stop_at, "__end": end_at})
+        .withColumn(tokens, F.slice(tokens, 1, F.when(F.col("__end") < F.col("__stop") + len(stop),
+                                                      F.col("__end")).otherwise(F.col("__stop"))))
+        .drop("__spelled", "__before", "__stop", "__end")
     )
-    stop_at = F.coalesce(F.array_min(starts), n)
-    end_at = F.when(F.array_contains(tokens, end), F.array_position(tokens, end).cast("int") - 1).otherwise(n)
-    return F.slice(tokens, 1, F.when(end_at < stop_at + width, F.least(end_at, n)).otherwise(stop_at))
 
 
 def trim_text_at_stop(text: Column, stop: str) -> Column:

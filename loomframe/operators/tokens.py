@@ -10,8 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Byte tokens are 0..255, so the end-of-text token takes the next id. On the way it is
 # the byte 0xFF, which no valid UTF-8 text contains.
@@ -58,10 +62,31 @@ class ByteCarrier:
         return F.array_join(F.transform(pieces, lambda p: p.cast("string")), "").cast("binary")
 
     def ids(self, tokens: Column) -> Column:
-        # splitting an empty string gives one empty element
-        none = F.array().cast("array<string>")
-        chars = F.when(F.octet_length(tokens) == 0, none).otherwise(F.split(F.decode(tokens, "ISO-8859-1"), ""))
-        return F.transform(chars, lambda c: F.when(c == chr(END_MARK), self.end).otherwise(F.ascii(c)))
+        return F.arrow_udf(_bytes_to_ids, T.ArrayType(T.IntegerType()))(tokens)
+
+
+def _bytes_to_ids(column: pa.Array) -> pa.Array:
+    """Widen a whole batch of byte strings at once; nothing runs per row."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.empty(0, np.uint8)
+    ids = values.astype(np.int32)
+    ids[ids == END_MARK] = BYTE_END
+    nulls = column.is_null() if column.null_count else None
+    return pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(ids), mask=nulls)
+
+
+def _ids_to_bytes(column: pa.Array) -> pa.Array:
+    """The reverse, with end-of-text tokens left out."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    kept = values < BYTE_END
+    row = np.repeat(np.arange(len(column)), lengths)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=len(column)))]).astype(np.int32)
+    data = values[kept].astype(np.uint8)
+    spelled = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return pc.if_else(column.is_null(), None, spelled) if column.null_count else spelled
 
 
 @dataclass(frozen=True)
@@ -105,6 +130,4 @@ def encode_bytes(text: Column) -> Column:
 
 def decode_bytes(ids: Column) -> Column:
     """Text of a byte-token array, separators left out."""
-    kept = F.filter(ids, lambda t: t < BYTE_END)
-    raw = F.unhex(F.array_join(F.transform(kept, lambda t: F.lpad(F.hex(t), 2, "0")), ""))
-    return F.make_valid_utf8(raw.cast("string"))
+    return F.make_valid_utf8(F.arrow_udf(_ids_to_bytes, T.BinaryType())(ids).cast("string"))

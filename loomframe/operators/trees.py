@@ -6,6 +6,8 @@ depth d takes about log2(d) rounds of equi-joins, and rows stay narrow however d
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,20 +83,25 @@ def _follow(starts: DataFrame, hops: DataFrame) -> DataFrame:
     2**(r+1) nodes through a table of jumps of that length.
     """
     jump = hops.select("src", "dst")
+    jumps, met = jump.count(), starts.count()
     found = [starts.select("path", F.lit(0).cast("long").alias("step"), "id")]
     reach = 1
     while True:
-        met = found[0]
-        for part in found[1:]:
-            met = met.unionByName(part)
+        so_far = reduce(DataFrame.unionByName, found)
         ahead = cut_lineage(
-            lookup(met, jump, "id", "src").select("path", (F.col("step") + reach).alias("step"), F.col("dst").alias("id"))
+            lookup(so_far, jump, "id", "src", rows=met).select(
+                "path", (F.col("step") + reach).alias("step"), F.col("dst").alias("id")
+            )
         )
-        if ahead.isEmpty():
-            return met
+        added = ahead.count()
+        if added == 0:
+            return so_far
         found.append(ahead)
+        met += added
         onward = jump.select(F.col("src").alias("src2"), F.col("dst").alias("dst2"))
-        jump = cut_lineage(lookup(jump, onward, "dst", "src2").select("src", F.col("dst2").alias("dst")))
+        jump = cut_lineage(
+            lookup(jump, onward, "dst", "src2", rows=jumps).select("src", F.col("dst2").alias("dst"))
+        )
         reach *= 2
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomframe.functions.text import strip
 from loomframe.operators import chat, scored, trees
-from loomframe.operators.ordering import Running
 from loomframe.operators.tokens import BYTES, decode_bytes
 from loomframe.plans.registry import query
 from loomframe.plans.tables import (
@@ -129,8 +128,9 @@ SELECT sum(labels)::BIGINT AS labels, ((SELECT count(*) FROM firsts) * {BLOCK}):
        round(sum(labels) * 100.0 / ((SELECT count(*) FROM firsts) * {BLOCK}), 6)::DOUBLE AS coverage FROM kept""")
 def label_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = turns(spark, sf_dir)
-    examples = chat.sft_examples(chats, BYTES, BLOCK, "conv_id", "turn", rows=chats.count())
-    covered = scored.label_coverage(examples, "conv_id", 100)
+    firsts = chats.select("conv_id").distinct().orderBy("conv_id").limit(100)
+    chosen = chats.join(F.broadcast(firsts), "conv_id", "left_semi")
+    covered = scored.label_coverage(chat.sft_examples(chosen, BYTES, BLOCK, "conv_id", "turn"), "conv_id", 100)
     return covered.withColumn("coverage", F.round("coverage", 6))
 
 
@@ -248,7 +248,6 @@ SELECT conv_id, turn, md5(regexp_replace(regexp_replace(cut, '^[{SQL_SPACE}]+',
 def trim_at_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte tokens of each turn up to the first full stop and space, read back and stripped."""
     chats = load(spark, sf_dir, "conversations")
-    cut = scored.trim_at_stop(F.col("tokens"), [ord("."), ord(" ")], BYTES.end)
-    trimmed = chats.select("conv_id", "turn", BYTES.ids(BYTES.from_text(F.col("text"))).alias("tokens"))
-    kept = trimmed.withColumn("kept", strip(decode_bytes(cut)))
-    return kept.select("conv_id", "turn", digest("kept"))
+    said = chats.select("conv_id", "turn", BYTES.ids(BYTES.from_text(F.col("text"))).alias("tokens"))
+    cut = scored.trim_at_stop(said, "tokens", [ord("."), ord(" ")], BYTES.end)
+    return cut.withColumn("kept", strip(decode_bytes(F.col("tokens")))).select("conv_id", "turn", digest("kept"))

@@ -36,7 +36,7 @@ def block_digest(blocks: DataFrame) -> DataFrame:
     return blocks.select(
         "block_id", F.get("x", F.lit(0)).alias("x_first"), F.element_at("y", -1).alias("y_last"),
         total(F.col("x")).alias("x_sum"), weighted_total(F.col("x")).alias("x_dot"),
-        total(F.col("y")).alias("y_sum"), weighted_total(F.col("y")).alias("y_dot"),
+        weighted_total(F.col("y")).alias("y_dot"),
     )
 
 
@@ -51,7 +51,6 @@ def blocks_sql(tokens: str, block: int, limit: str = "") -> str:
 SELECT b AS block_id, max(CASE WHEN p = 0 THEN tok END) AS x_first, max(CASE WHEN p = {block} THEN tok END) AS y_last,
        sum(CASE WHEN p < {block} THEN tok ELSE 0 END)::BIGINT AS x_sum,
        sum(CASE WHEN p < {block} THEN tok * p ELSE 0 END)::BIGINT AS x_dot,
-       sum(CASE WHEN p > 0 THEN tok ELSE 0 END)::BIGINT AS y_sum,
        sum(CASE WHEN p > 0 THEN tok * (p - 1) ELSE 0 END)::BIGINT AS y_dot
 FROM (SELECT (loc // {block})::BIGINT AS b, (loc % {block})::BIGINT AS p, tok FROM {tokens}
       UNION ALL SELECT (loc // {block} - 1)::BIGINT, {block}::BIGINT, tok FROM {tokens} WHERE loc % {block} = 0 AND loc > 0)
@@ -101,13 +100,14 @@ def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("encode_bytes", f"""
 WITH {TOKENS_SQL}
 SELECT t.doc_id, count(*)::BIGINT AS n_tokens, sum(tok)::BIGINT AS token_sum,
-       sum(tok * (loc - start))::BIGINT AS token_dot, arg_max(tok, loc) AS last_token
+       max(CASE WHEN loc - start = n // 2 THEN tok END) AS middle_token, arg_max(tok, loc) AS last_token
 FROM tokens t JOIN offsets o ON o.doc_id = t.doc_id GROUP BY t.doc_id""")
 def encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = drop_blank(documents(spark, sf_dir), "text").select("doc_id", encode_bytes(F.col("text")).alias("tokens"))
     return encoded.select(
         "doc_id", F.size("tokens").cast("long").alias("n_tokens"), total(F.col("tokens")).alias("token_sum"),
-        weighted_total(F.col("tokens")).alias("token_dot"), F.element_at("tokens", -1).alias("last_token"),
+        F.get("tokens", F.call_function("div", F.size("tokens"), F.lit(2)).cast("int")).alias("middle_token"),
+        F.element_at("tokens", -1).alias("last_token"),
     )
 
 

@@ -7,13 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TRAIN_SCHEMA = T.StructType.fromDDL(
-    "step INT, loss DOUBLE, smooth_loss DOUBLE, lr DOUBLE, tokens_seen BIGINT, tokens_per_sec DOUBLE, "
-    "grad_norm DOUBLE, elapsed_sec DOUBLE, vram_used_gb DOUBLE, vram_peak_gb DOUBLE, timestamp TIMESTAMP"
+
+def _schema(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in types.items()])
+
+
+_INT, _LONG, _DOUBLE, _TIME = T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType()
+
+TRAIN_SCHEMA = _schema(
+    step=_INT, loss=_DOUBLE, smooth_loss=_DOUBLE, lr=_DOUBLE, tokens_seen=_LONG, tokens_per_sec=_DOUBLE,
+    grad_norm=_DOUBLE, elapsed_sec=_DOUBLE, vram_used_gb=_DOUBLE, vram_peak_gb=_DOUBLE, timestamp=_TIME,
 )
-EVAL_SCHEMA = T.StructType.fromDDL(
-    "step INT, val_loss DOUBLE, val_perplexity DOUBLE, best_val_loss DOUBLE, tokens_seen BIGINT, "
-    "elapsed_sec DOUBLE, timestamp TIMESTAMP"
+EVAL_SCHEMA = _schema(
+    step=_INT, val_loss=_DOUBLE, val_perplexity=_DOUBLE, best_val_loss=_DOUBLE, tokens_seen=_LONG,
+    elapsed_sec=_DOUBLE, timestamp=_TIME,
 )
 # one schema for a file that mixes both kinds of row; epoch is an extra some runs log
 JSONL_SCHEMA = T.StructType(
