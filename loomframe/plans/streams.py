@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomframe.functions.text import drop_blank
+from loomframe.operators.packing import shift
+from loomframe.operators.tokens import BYTES
 from loomframe.plans.registry import query
 from loomframe.plans.tables import BLOCK, SQL_SPACE, TOKENS_PER_STEP, TOKENS_SQL, load
 from loomframe.plans.text import block_digest, total, weighted_total
@@ -49,10 +52,11 @@ GROUP BY shard, b HAVING count(*) = {block} + 1 {limit}"""
 
 def packed_stream(spark: SparkSession, sf_dir: str, block: int, max_tokens: int | None) -> DataFrame:
     path = work_path(spark, "stream-pack")
-    encoded = encode_stream(document_stream(spark, sf_dir), "doc_id", "text")
-    run_to_files(pack_stream(encoded, "doc_id", F.col("doc_id") % SHARDS, block, max_tokens), path)
-    done = spark.read.schema("shard long, block_id long, x array<int>, y array<int>").parquet(f"{path}/rows")
-    return done.select(
+    docs = drop_blank(document_stream(spark, sf_dir), "text")
+    tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
+    run_to_files(pack_stream(docs, "doc_id", tokens, BYTES, F.col("doc_id") % SHARDS, block, max_tokens), path)
+    chunks = spark.read.schema("shard long, block_id long, chunk binary").parquet(f"{path}/rows")
+    return shift(chunks, BYTES, block).select(
         "shard", "block_id", F.get("x", F.lit(0)).alias("x_first"), F.element_at("y", -1).alias("y_last"),
         weighted_total(F.col("x")).alias("x_dot"), weighted_total(F.col("y")).alias("y_dot"),
     )

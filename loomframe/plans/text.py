@@ -10,6 +10,7 @@ from loomframe.operators import batching, bpe, packing
 from loomframe.operators.tokens import BYTES, ArrayCarrier, decode_bytes, encode_bytes
 from loomframe.plans.registry import query
 from loomframe.plans.tables import BLOCK, SQL_SPACE, TOKENS_SQL, load
+from loomframe.session import cut_lineage
 from loomframe.sources import artifacts, corpus, logs
 
 # Merged tokens of the sample vocabulary: frequent pairs of the test corpus
@@ -23,6 +24,11 @@ def documents(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return corpus.read_corpus(spark, f"{sf_dir}/documents.parquet", keep=keep)
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-blank documents, for queries that work hard on every text."""
+    return corpus.spread(drop_blank(documents(spark, sf_dir), "text"), "doc_id")
+
+
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, t: a + t)
 
@@ -35,14 +41,13 @@ def block_digest(blocks: DataFrame) -> DataFrame:
     """Integers that pin down ``x`` and ``y``."""
     return blocks.select(
         "block_id", F.get("x", F.lit(0)).alias("x_first"), F.element_at("y", -1).alias("y_last"),
-        total(F.col("x")).alias("x_sum"), weighted_total(F.col("x")).alias("x_dot"),
-        weighted_total(F.col("y")).alias("y_dot"),
+        total(F.col("x")).alias("x_sum"), weighted_total(F.col("y")).alias("y_dot"),
     )
 
 
 def packed(spark: SparkSession, sf_dir: str, block: int = BLOCK, max_tokens: int | None = None) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return packing.pack_text(drop_blank(docs, "text"), "doc_id", "text", BYTES, block, max_tokens, rows=docs.count())
+    rows = documents(spark, sf_dir).count()
+    return packing.pack_text(spread_documents(spark, sf_dir), "doc_id", "text", BYTES, block, max_tokens, rows=rows)
 
 
 def blocks_sql(tokens: str, block: int, limit: str = "") -> str:
@@ -50,7 +55,6 @@ def blocks_sql(tokens: str, block: int, limit: str = "") -> str:
     return f"""
 SELECT b AS block_id, max(CASE WHEN p = 0 THEN tok END) AS x_first, max(CASE WHEN p = {block} THEN tok END) AS y_last,
        sum(CASE WHEN p < {block} THEN tok ELSE 0 END)::BIGINT AS x_sum,
-       sum(CASE WHEN p < {block} THEN tok * p ELSE 0 END)::BIGINT AS x_dot,
        sum(CASE WHEN p > 0 THEN tok * (p - 1) ELSE 0 END)::BIGINT AS y_dot
 FROM (SELECT (loc // {block})::BIGINT AS b, (loc % {block})::BIGINT AS p, tok FROM {tokens}
       UNION ALL SELECT (loc // {block} - 1)::BIGINT, {block}::BIGINT, tok FROM {tokens} WHERE loc % {block} = 0 AND loc > 0)
@@ -103,7 +107,7 @@ SELECT t.doc_id, count(*)::BIGINT AS n_tokens, sum(tok)::BIGINT AS token_sum,
        max(CASE WHEN loc - start = n // 2 THEN tok END) AS middle_token, arg_max(tok, loc) AS last_token
 FROM tokens t JOIN offsets o ON o.doc_id = t.doc_id GROUP BY t.doc_id""")
 def encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = drop_blank(documents(spark, sf_dir), "text").select("doc_id", encode_bytes(F.col("text")).alias("tokens"))
+    encoded = spread_documents(spark, sf_dir).select("doc_id", encode_bytes(F.col("text")).alias("tokens"))
     return encoded.select(
         "doc_id", F.size("tokens").cast("long").alias("n_tokens"), total(F.col("tokens")).alias("token_sum"),
         F.get("tokens", F.call_function("div", F.size("tokens"), F.lit(2)).cast("int")).alias("middle_token"),
@@ -123,7 +127,7 @@ _PIECES = (
 SELECT doc_id, len(p)::BIGINT AS n_pieces, md5(array_to_string(p, chr(57345))) AS digest
 FROM (SELECT doc_id, regexp_extract_all({_MARKED}, {_PIECES}) AS p FROM documents)""")
 def pretokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = documents(spark, sf_dir).select("doc_id", bpe.pieces(F.col("text")).alias("p"))
+    cut = corpus.spread(documents(spark, sf_dir), "doc_id").select("doc_id", bpe.pieces(F.col("text")).alias("p"))
     return cut.select(
         "doc_id", F.size("p").cast("long").alias("n_pieces"),
         F.md5(F.array_join("p", "\ue001").cast("binary")).alias("digest"),
@@ -133,7 +137,7 @@ def pretokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("roundtrip", f"""
 SELECT count(*) AS documents, 0::BIGINT AS failures FROM documents WHERE regexp_matches(text, '[^{SQL_SPACE}]')""")
 def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = drop_blank(documents(spark, sf_dir), "text")
+    docs = spread_documents(spark, sf_dir)
     back = docs.withColumn("back", decode_bytes(encode_bytes(F.col("text"))))
     return back.agg(
         F.count(F.lit(1)).alias("documents"),
@@ -145,8 +149,8 @@ def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-pair encoding, decoded again: tokens per document and whether the text came back."""
     vocabulary = bpe.Vocabulary.from_merges(SAMPLE_MERGES)
-    docs = drop_blank(documents(spark, sf_dir), "text")
-    encoded = bpe.encode(docs, "doc_id", "text", vocabulary)
+    docs = spread_documents(spark, sf_dir)
+    encoded = cut_lineage(bpe.encode(docs, "doc_id", "text", vocabulary))
     back = bpe.decode(encoded, "doc_id", vocabulary).withColumnRenamed("text", "back")
     return docs.join(encoded, "doc_id").join(back, "doc_id").select(
         "doc_id", F.size("tokens").cast("long").alias("n_tokens"), (F.col("text") == F.col("back")).alias("same")
@@ -156,8 +160,8 @@ def encode_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pack_merged")
 def pack_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.from_merges(SAMPLE_MERGES)
-    docs = drop_blank(documents(spark, sf_dir), "text")
-    encoded = bpe.encode(docs, "doc_id", "text", vocabulary)
+    docs = spread_documents(spark, sf_dir)
+    encoded = cut_lineage(bpe.encode(docs, "doc_id", "text", vocabulary))  # read twice: for lengths and for pieces
     carrier = ArrayCarrier(vocabulary.end)
     tokens = F.col("tokens")
     return block_digest(packing.pack_blocks(encoded, "doc_id", tokens, carrier.count(tokens), carrier, BLOCK))

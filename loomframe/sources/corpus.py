@@ -23,6 +23,16 @@ def read_corpus(spark: SparkSession, path: str, text: str = "text", order: str =
     return table.select(order, text, *keep)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core for work that costs more than moving its input.
+
+    A table with fewer file splits than the cluster has cores is repartitioned; any larger one is
+    left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_messages(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """Message rows of one split; a split column in the path prunes folders."""
     messages = spark.read.parquet(path)

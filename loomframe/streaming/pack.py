@@ -13,10 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomframe.functions.text import drop_blank
 from loomframe.operators.packing import block_budget
-from loomframe.operators.tokens import encode_bytes
-
-BLOCK_SCHEMA = "shard long, block_id long, x array<int>, y array<int>"
-STATE_SCHEMA = "buffer array<int>, next_block long"
+from loomframe.operators.tokens import ByteCarrier, Carrier, encode_bytes
 
 
 def encode_stream(docs: DataFrame, order: str, text: str) -> DataFrame:
@@ -25,42 +22,52 @@ def encode_stream(docs: DataFrame, order: str, text: str) -> DataFrame:
 
 
 def _pack_shard(
-    key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, block: int, order: str, limit: int | None
+    key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, block: int, order: str, limit: int | None,
+    as_bytes: bool,
 ) -> Iterator[pd.DataFrame]:
     """Append a shard's new documents to what was left over and emit the blocks this completes."""
-    left, next_block = state.get if state.exists else ([], 0)
-    docs = pd.concat(list(chunks)).sort_values(order)
-    tokens = np.concatenate([np.asarray(left, dtype=np.int32), *[np.asarray(t, np.int32) for t in docs["tokens"]]])
+    left, next_block = state.get if state.exists else (b"" if as_bytes else [], 0)
+    docs = pd.concat(list(chunks)).sort_values(order)["tokens"]
+    if as_bytes:
+        tokens = b"".join([left, *docs])
+    else:
+        tokens = np.concatenate([np.asarray(t, np.int32) for t in (left, *docs)])
     n = max((len(tokens) - 1) // block, 0)
     emitted = n if limit is None else min(n, max(limit - next_block, 0))
     if emitted:
-        starts = range(0, emitted * block, block)
         yield pd.DataFrame(
             {
                 "shard": key[0],
                 "block_id": np.arange(next_block, next_block + emitted),
-                "x": [tokens[s : s + block] for s in starts],
-                "y": [tokens[s + 1 : s + block + 1] for s in starts],
+                "chunk": [tokens[s : s + block + 1] for s in range(0, emitted * block, block)],
             }
         )
-    spent = limit is not None and next_block + n >= limit
-    state.update(([] if spent else tokens[n * block :].tolist(), int(next_block + n)))
+    rest = tokens[n * block :] if limit is None or next_block + n < limit else tokens[:0]
+    state.update((rest if as_bytes else rest.tolist(), int(next_block + n)))
 
 
 def pack_stream(
-    encoded: DataFrame, order: str, shard: Column, block: int = 1024, max_tokens: int | None = None
+    docs: DataFrame, order: str, tokens: Column, carrier: Carrier, shard: Column, block: int = 1024,
+    max_tokens: int | None = None,
 ) -> DataFrame:
-    """Blocks of an encoded stream, each shard packed on its own.
+    """``shard, block_id, chunk`` of a stream of token sequences, each shard packed on its own.
 
+    Chunks hold ``block + 1`` tokens in the carrier's form; ``shift`` reads ``x`` and ``y`` off them.
     A shard keeps at most ``block`` tokens between micro-batches. Choose the shard by a hash of the
     order column: shards of even size, as many as there should be parallel packers. ``max_tokens``
     is a budget per shard. Documents are taken in the order of their micro-batches, and by
     ``order`` within one.
     """
-    pack = partial(_pack_shard, block=block, order=order, limit=block_budget(block, max_tokens))
-    sharded = encoded.select(shard.cast("long").alias("shard"), order, "tokens")
-    return sharded.groupBy("shard").applyInPandasWithState(
-        pack, BLOCK_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    as_bytes = isinstance(carrier, ByteCarrier)
+    kind = "binary" if as_bytes else "array<int>"
+    pack = partial(_pack_shard, block=block, order=order, limit=block_budget(block, max_tokens), as_bytes=as_bytes)
+    return (
+        docs.select(shard.cast("long").alias("shard"), order, tokens.alias("tokens"))
+        .groupBy("shard")
+        .applyInPandasWithState(
+            pack, f"shard long, block_id long, chunk {kind}", f"buffer {kind}, next_block long", "append",
+            GroupStateTimeout.NoTimeout,
+        )
     )
 
 
