@@ -87,13 +87,16 @@ def head_tail(log: DataFrame, metric: str = "loss", k: int = 100, order: str = S
     """Mean of the first and of the last ``k`` rows of each run.
 
     Both row numbers are filtered at once, so each map task forwards at most ``k`` rows per run.
+    The values are added in step order: a run shorter than ``k`` has the same mean at both ends.
     """
+    in_order = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(metric).alias("value"))))
+    mean = F.aggregate(in_order, F.lit(0.0), lambda total, row: total + row["value"]) / F.count(F.lit(1))
 
     def edge(direction: Column, name: str) -> DataFrame:
-        ranked = log.select(RUN, order, metric).withColumn(
+        ranked = log.select(RUN, order, metric).where(F.col(metric).isNotNull()).withColumn(
             "__rn", F.row_number().over(Window.partitionBy(RUN).orderBy(direction))
         )
-        return ranked.where(F.col("__rn") <= k).groupBy(RUN).agg(F.avg(metric).alias(name))
+        return ranked.where(F.col("__rn") <= k).groupBy(RUN).agg(mean.alias(name))
 
     return edge(F.col(order).asc(), "head_mean").join(edge(F.col(order).desc(), "tail_mean"), RUN)
 
