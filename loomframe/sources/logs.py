@@ -40,7 +40,7 @@ def read_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema.add("run", T.StringType()) if "run" not in schema.names else schema)
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("run", T.StringType())]))
     return rows.withColumn("run", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
 
 
