@@ -21,7 +21,8 @@ from loomframe.session import cut_lineage
 
 ROWS_PER_RANGE_CONF = "spark.loomframe.rowsPerRange"
 ROWS_PER_RANGE = 200_000
-MAX_RANGES = 20_000
+MAX_RANGES = 4_096
+UNROLLED_CUTS = 128
 SAMPLES_PER_RANGE = 20
 BUCKET_ROWS = 8_192
 
@@ -77,34 +78,52 @@ def _sql_literal(value, dtype: T.DataType) -> str:
     return f"cast('{value!r}' as {dtype.simpleString()})"
 
 
-def _range_of(df: DataFrame, keys: Sequence[str], total: int, size: int) -> Column:
-    """Number of cut points at or below the row's keys: a binary search over a literal array."""
+def _cuts(narrow: DataFrame, keys: Sequence[str], total: int, size: int) -> list[tuple]:
+    """Keys that cut the sorted table into ranges of about equal size, from a sample of bounded size."""
     ranges = min(MAX_RANGES, -(-total // size))
     fraction = min(1.0, ranges * SAMPLES_PER_RANGE / total)
-    types = [df.schema[k].dataType for k in keys]
-    sample = df.select(*keys).sample(fraction=fraction, seed=11).orderBy(*keys).collect()
+    sample = narrow.select(*keys).sample(fraction=fraction, seed=11).orderBy(*keys).collect()
     picked = [tuple(sample[len(sample) * i // ranges]) for i in range(1, ranges)] if sample else []
-    cuts = list(dict.fromkeys(picked))
+    return list(dict.fromkeys(picked))
+
+
+def _with_range(df: DataFrame, keys: Sequence[str], cuts: list[tuple]) -> DataFrame:
+    """Add the number of cuts at or below the row's keys: a binary search over a literal array.
+
+    For a few cuts each halving is a projection of its own, which keeps the search in generated
+    code; for many, a fold keeps the plan small by naming the array once.
+    """
     if not cuts:
-        return F.lit(0)
-    rows = ", ".join(
-        "named_struct("
-        + ", ".join(f"'k{i}', {_sql_literal(v, t)}" for i, (v, t) in enumerate(zip(cut, types)))
+        return df.withColumn(_RANGE, F.lit(0))
+    types = [df.schema[k].dataType for k in keys]
+    bounds = F.expr(
+        "array("
+        + ", ".join(
+            "named_struct(" + ", ".join(f"'k{i}', {_sql_literal(v, t)}" for i, (v, t) in enumerate(zip(cut, types))) + ")"
+            for cut in cuts
+        )
         + ")"
-        for cut in cuts
     )
-    top = 1 << (len(cuts).bit_length() - 1)
-    steps = []
-    while top:
-        steps.append(top)
-        top >>= 1
-    bounds = F.expr(f"array({rows})")
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(F.get(bounds, found + step - 1) <= key, found + step).otherwise(found),
-    )
+    top = len(cuts).bit_length() - 1
+    steps = [1 << bit for bit in range(top, -1, -1)]
+
+    def above(found: Column, step: Column) -> Column:
+        return F.get(bounds, found + step - 1) <= F.col("__key")  # null beyond the last cut
+
+    searched = df.withColumn("__key", key)
+    if len(cuts) > UNROLLED_CUTS:
+        found = F.aggregate(
+            F.array(*[F.lit(step) for step in steps]),
+            F.lit(0),
+            lambda found, step: F.when(above(found, step), found + step).otherwise(found),
+        )
+        return searched.withColumn(_RANGE, found).drop("__key")
+    searched = searched.withColumn(_RANGE, F.lit(0))
+    for step in steps:
+        found = F.col(_RANGE)
+        searched = searched.withColumn(_RANGE, found + F.when(above(found, F.lit(step)), step).otherwise(0))
+    return searched.drop("__key")
 
 
 def running(
@@ -131,11 +150,11 @@ def running(
     group, order = list(group), list(order)
     inputs = {f"__in_{n}": r.value for n, r in values.items()}
     narrow = cut_lineage(df.select(*group, *order, *[c.alias(n) for n, c in inputs.items()]))
-    bucket = _range_of(narrow, group + order, total, size)
+    cuts = _cuts(narrow, group + order, total, size)
 
     over_inputs = {n: Running(r.kind, F.col(f"__in_{n}"), r.current) for n, r in values.items()}
     totals = (
-        narrow.withColumn(_RANGE, bucket)
+        _with_range(narrow, group + order, cuts)
         .groupBy(*group, _RANGE)
         .agg(*[r.total(order).alias(f"__sum_{n}") for n, r in over_inputs.items()])
     )
@@ -153,7 +172,7 @@ def running(
     carry = cut_lineage(carry)
 
     window = Window.partitionBy(_RANGE, *group).orderBy(*order)
-    local = df.withColumn(_RANGE, bucket).withColumns(
+    local = _with_range(df, group + order, cuts).withColumns(
         {f"__local_{n}": r.over(r.value, r.frame(window)) for n, r in values.items()}
     )
     match = F.col(_RANGE) == F.col("__r")

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from loomframe.operators import ordering
 from loomframe.operators.joins import lookup
 from loomframe.operators.ordering import Running, row_index, running, trailing
 
@@ -66,6 +67,14 @@ def test_row_index_does_not_depend_on_partitions(spark, ranges, partitions):
         assert [r.i for r in got] == list(range(120))
 
 
+@pytest.mark.parametrize("unrolled", [0, 1000])
+def test_both_range_searches_agree(spark, tiny_ranges, monkeypatch, unrolled):
+    monkeypatch.setattr(ordering, "UNROLLED_CUTS", unrolled)
+    df = spark.range(300).select((F.col("id") * 7 % 300).alias("k"))
+    got = row_index(df, ["k"], "i").collect()
+    assert all(r.i == r.k for r in got) and len(got) == 300
+
+
 def test_ties_in_the_group_and_composite_order(spark, tiny_ranges):
     rows = [(i // 40, i % 40 // 4, i % 4, 0.5 * i) for i in range(160)]
     df = spark.createDataFrame(rows, "g int, a int, b int, v double")
