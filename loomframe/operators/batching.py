@@ -42,10 +42,15 @@ def epoch_order(df: DataFrame, key: str, epoch: int, seed: int = 0, rows: int |
     return placed.drop("__shuffle").withColumn("epoch", F.lit(epoch))
 
 
-def make_batches(df: DataFrame, position: str, size: int, drop_last: bool = False) -> DataFrame:
-    """Number the batches of ``size`` consecutive positions; optionally drop a short last one."""
+def make_batches(
+    df: DataFrame, position: str, size: int, drop_last: bool = False, total: int | None = None
+) -> DataFrame:
+    """Number the batches of ``size`` consecutive positions; optionally drop a short last one.
+
+    ``total`` is the number of rows, counted here if the caller does not know it.
+    """
     batched = df.withColumn("batch", whole(F.col(position), size))
     if not drop_last:
         return batched
-    total = df.count()
+    total = df.count() if total is None else total
     return batched.where(F.col(position) < total - total % size)
