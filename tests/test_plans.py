@@ -15,7 +15,7 @@ def plan_of(df):
 
 
 def test_limits_reach_the_map_side(spark):
-    log = spark.range(10).select((F.col("id") % 2).cast("string").alias("run"), F.col("id").alias("step"), F.col("id").cast("double").alias("loss"))
+    log = spark.range(10**6).select((F.col("id") % 2).cast("string").alias("run"), F.col("id").alias("step"), F.col("id").cast("double").alias("loss"))
     assert plan_of(runs.head_tail(log)).count("WindowGroupLimit") >= 4  # partial and final, at both ends
     logits = log.select(F.col("step").alias("ctx_id"), F.col("step").alias("token_id"), F.col("loss").alias("logit"))
     assert "WindowGroupLimit" in plan_of(scored.topk_ties(logits, 3))
