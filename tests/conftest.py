@@ -12,7 +12,7 @@ from loomframe.session import get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = get_session(
-        "local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"}
+        "local[8]", "tests", **{"spark.sql.shuffle.partitions": "3", "spark.ui.enabled": "false", "spark.driver.memory": "6g"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
