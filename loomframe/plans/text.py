@@ -282,9 +282,10 @@ def latest_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")  # wall-clock time, whatever the session's zone
     return documents(spark, sf_dir, "source").select(
         F.col("doc_id").alias("step"), F.col("source").alias("prompt"), "text",
-        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 61).alias("ts"),
+        F.timestamp_add("SECOND", F.col("doc_id") * 61, start).alias("ts"),
     )
 
 
