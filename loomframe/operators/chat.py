@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.text import is_blank
+from loomframe.functions.text import SPACE_CLASS, is_blank, strip
 from loomframe.operators.ordering import Running, running
 from loomframe.operators.packing import spans, whole
 from loomframe.operators.tokens import Carrier
@@ -187,9 +187,10 @@ def chat_context(
 
 def chat_commands(line: Column) -> dict[str, Column]:
     """What a typed chat line does: reset, set temperature, set top-k, or say something."""
-    words = F.split(F.lower(F.trim(line)), r"\s+")
+    said = strip(line)
+    words = F.split(F.lower(said), f"(?U)[{SPACE_CLASS}]+")
     first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
-    is_command = F.startswith(F.trim(line), F.lit("/"))
+    is_command = F.startswith(said, F.lit("/"))
     return {
         "reset": first == "/reset",
         "leaves": first.isin("/quit", "/exit"),

@@ -91,12 +91,12 @@ def test_context_is_the_tail_of_the_chat(spark, ranges, budget):
 
 
 def test_commands_and_sessions(spark, ranges):
-    lines = ["hello", "/temp 0.9", "a", "/reset", " ", "/topk 40", "/TOPK x", "/what", "/quit", "b"]
+    lines = ["hello", "/temp\u00a0 0.9\t", "a", "/reset", " ", "/topk 40", "/TOPK x", "/what", "/quit", "b"]
     df = spark.createDataFrame(list(enumerate(lines)), "ord long, line string")
     parsed = df.select("ord", "line", *[c.alias(n) for n, c in chat.chat_commands(F.col("line")).items()])
     rows = {r.line: r for r in parsed.collect()}
     assert [line for line in lines if rows[line].says] == ["hello", "a", "b"]
-    assert rows["/temp 0.9"].temperature == 0.9 and rows["/topk 40"].top_k == 40 and rows["/TOPK x"].top_k is None
+    assert rows["/temp\u00a0 0.9\t"].temperature == 0.9 and rows["/topk 40"].top_k == 40 and rows["/TOPK x"].top_k is None
     assert rows["/quit"].leaves and rows["/reset"].reset and not rows["/what"].says
     settings = {"temperature": F.col("temperature"), "top_k": F.col("top_k")}
     got = chat.reset_sessions(parsed.withColumn("chat", F.lit("c")), ["chat"], ["ord"], F.col("reset"), settings).orderBy("ord").collect()
