@@ -20,7 +20,12 @@ MEMO_ENTRIES = 300_000
 #: Words for Spark's regular expressions; ``bytes.split()`` cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SLICE_BYTES", "WORD", "Memo", "crc_fold", "cut_lineage", "documents", "read", "slices", "word_hash"]
+BASE = np.uint64(0x9E3779B97F4A7C15)
+_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+__all__ = [
+    "BASE", "SLICE_BYTES", "WORD", "Memo", "crc_fold", "cut_lineage", "documents", "read", "run_hashes", "slices", "sliding_min", "word_hash",
+]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,3 +70,38 @@ def word_hash() -> Memo:
 def crc_fold(column: str, folds: int = 5):
     """crc32 of the decimal text of an id, modulo ``folds``; 0 marks held-out rows."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
+
+
+def _powers(base: np.uint64, n: int) -> np.uint64:
+    return np.uint64(pow(int(base), n, 1 << 64))
+
+
+def run_hashes(words: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
+    """Polynomial hash of each run of ``length`` words, by doubling; position i is valid up to the end."""
+    total, done = np.zeros_like(words), 0
+    part, size = words, 1
+    while True:
+        if length & size:  # put the runs of this size after what is there
+            moved = np.zeros_like(words)
+            moved[: len(words) - done if done else None] = part[done:]
+            total = total * _powers(base, size) + moved
+            done += size
+        if done == length:
+            return total
+        moved = np.zeros_like(words)
+        moved[:-size or None] = part[size:]
+        part, size = part * _powers(base, size) + moved, size * 2
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of each ``width`` values from a position on."""
+    part, size = values, 1
+    while size * 2 <= width:
+        moved = np.full_like(part, _LAST)
+        moved[:-size or None] = part[size:]
+        part, size = np.minimum(part, moved), size * 2
+    if size < width:
+        moved = np.full_like(part, _LAST)
+        moved[: size - width] = part[width - size :]
+        part = np.minimum(part, moved)
+    return part

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm import best_fit, language_mix, piece_bpe, toxicity
-from loomframe.llm.common import crc_fold, documents, read
+from loomframe.llm import best_fit, chat_machine, language_mix, minhash, outliers, piece_bpe, rotation_codes, substring_dedup, toxicity
+from loomframe.llm.common import crc_fold, cut_lineage, documents, read
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,43 @@ def query(fn):
     return fn
 
 
+@query
+def op1_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rotation_codes.near_duplicates(read(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("component", "component_id")
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    kept = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
+@query
+def op3_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ["lang", "source"]
+    stats = outliers.statistics(documents(spark, sf_dir).select("doc_id", "text", *groups))
+    stats = cut_lineage(stats.select("doc_id", *groups, *outliers.STATISTICS))
+    found = outliers.judge(stats, outliers.fit(stats, groups), groups)
+    return found.select("doc_id", *outliers.STATISTICS, "base_failed", "kept", "distance")
+
+
+@query
+def op4_chat_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_machine.read_back(chat_machine.format_turns(turns))
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = minhash.near_duplicates(docs, shingle=3, percent=85)
+    return found.withColumnRenamed("component", "component_id")
+
+
 @query
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
