@@ -151,9 +151,6 @@ def _factor(moments: DataFrame) -> DataFrame:
     return out.select("g", F.array(*[F.col(f"__m{i}") for i in size]).alias("m"), F.array(*entries).alias("l"))
 
 
-_BIN = F.floor(32 * F.log2(F.col("d") + 1e-6)).cast("int")
-
-
 def fit(stats: DataFrame, groups: list[str]) -> DataFrame:
     """Estimates per group: key ``g``, mean ``m``, Cholesky factor ``l`` and the cut of the distance.
 
@@ -187,7 +184,7 @@ def fit(stats: DataFrame, groups: list[str]) -> DataFrame:
 
     def measured(estimate: DataFrame) -> DataFrame:
         found = members.join(estimate, "g")
-        return found.withColumn("d", _distance(found)).withColumn("bin", _BIN)
+        return found.withColumn("d", _distance(found)).withColumn("bin", F.floor(32 * F.log2(F.col("d") + 1e-6)).cast("int"))
 
     def histogram(estimate: DataFrame) -> DataFrame:
         return cut_lineage(measured(estimate).groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n")))

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from loomframe.llm import best_fit, chat_machine, language_mix, minhash, outliers, piece_bpe, rotation_codes, substring_dedup, toxicity
 from loomframe.llm.common import crc_fold, cut_lineage, documents, read
+from loomframe.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
