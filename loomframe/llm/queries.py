@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm import best_fit, chat_machine, language_mix, minhash, outliers, piece_bpe, rotation_codes, substring_dedup, toxicity
+from loomframe.llm import best_fit, chat_machine, language_mix, minhash, outliers, page_diff, piece_bpe, rotation_codes, substring_dedup, toxicity
 from loomframe.llm.common import crc_fold, cut_lineage, documents, read
 from loomframe.llm.oracles import ORACLES
 
@@ -65,6 +65,12 @@ def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), "lang_pred", "score", "proportions")
 
 
+@query
+def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_diff.extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query
 def op8_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
