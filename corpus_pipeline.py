@@ -17,9 +17,8 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the outlier test of their language and source let pass."""
-    stats = cut_lineage(outliers.statistics(docs.select("text", *GROUPS)).select(*GROUPS, *outliers.STATISTICS))
-    judged = outliers.judge(outliers.statistics(docs), outliers.fit(stats, GROUPS), GROUPS)
-    return judged.where("kept").select(docs.columns)
+    stats = cut_lineage(outliers.statistics(docs))
+    return outliers.judge(stats, outliers.fit(stats, GROUPS), GROUPS).where("kept").select(docs.columns)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
