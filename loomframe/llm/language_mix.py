@@ -73,7 +73,7 @@ class LanguageModel:
         """A row of log-likelihoods per word; not a number for words without a letter."""
         word, grams, contexts = word_cells(words)
         each = self.trigrams[grams] - self.contexts[contexts]
-        total = np.column_stack([np.bincount(word, each[:, k], len(words)) for k in range(len(self.languages))])
+        total = np.column_stack([np.bincount(word, each[:, k], len(words)) for k in range(len(self.languages))]).astype(float)
         total[np.bincount(word, minlength=len(words)) == 0] = np.nan
         return total
 
