@@ -3,10 +3,12 @@
 Runs of ``window`` words are the edges of the graph. An edge that occurs once needs no attention, so
 edges are found in two steps. First each edge is represented by its anchor, the least hash of the
 shorter runs inside it (equal edges have equal anchors, and neighbours mostly share theirs): anchors
-that occur once in the corpus rule out their edges. Edges with repeated anchors are then joined by
-hash with their first occurrence. Along a document, edges whose sources follow each other in one
-source document are a nonbranching path and are compacted to one span with source coordinates.
-A second, independent hash verifies every edge against its source.
+that occur once in the corpus rule out their edges. Edges with repeated anchors move to their anchor,
+neighbours together, and are matched there with their first occurrence; two must agree in the hash
+of the anchor and in an independent one of the whole edge, which verifies an edge against the
+coordinates of its source. Edges whose sources follow each other in one document are a nonbranching
+path and are compacted, within an anchor before they move and then along the document, to one span
+with source coordinates, which a join brings back to the text.
 
 Everything that one Python task knows is used before data moves: of equal anchors or edges within a
 slice of texts only one row is sent to the key they share, and the others, already known to be
@@ -60,11 +62,10 @@ class Edges:
         self.anchor_at = np.flatnonzero(chosen)
         self.anchors = runs[self.anchor_at]
 
-    def hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of the edges that start at ``at``."""
-        check = (self.words ^ (self.words >> np.uint64(27))) * _CHECK
-        second = run_hashes(check, self.window, _CHECK | np.uint64(1))
-        return run_hashes(self.words, self.window, BASE)[at], (second >> np.uint64(32))[at].astype(np.int64)
+    def hashes(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the edges that start at ``at``, independent of those of their anchors."""
+        words = (self.words ^ (self.words >> np.uint64(27))) * _CHECK
+        return run_hashes(words, self.window, _CHECK | np.uint64(1))[at]
 
 
 def _repeated_anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -121,15 +122,25 @@ def _spans(joined: DataFrame, window: int, anchor: int) -> DataFrame:
             at = edges.edge[candidates[edges.edge]]
             if not len(at):
                 continue
-            first, second = edges.hashes(at)
+            hashed, anchored = edges.hashes(at), edges.least[at]
             keys, places = ids[edges.doc[at]], edges.place[at]
-            order = np.lexsort((places, keys, second, first))
+            order = np.lexsort((places, keys, hashed, anchored))
             head = np.ones(len(order), bool)
-            f, s = first[order], second[order]
-            head[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+            one, two = anchored[order], hashed[order]
+            head[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
             origin = order[head][np.cumsum(head) - 1]
-            firsts = order[head]
-            yield _rows(first[firsts].view(np.int64), second[firsts], keys[firsts], places[firsts], None, None, None)
+            first = np.sort(order[head])  # edges whose first occurrence here is to be compared with other slices
+            joint = np.zeros(len(first), bool)
+            follows = at[first[1:]] == at[first[:-1]] + 1
+            joint[1:] = follows & (anchored[first[1:]] == anchored[first[:-1]]) & (keys[first[1:]] == keys[first[:-1]])
+            begin = np.flatnonzero(~joint)
+            none = pa.nulls(len(begin), pa.int64())
+            offsets = np.append(begin, len(first)).astype(np.int32)
+            runs = pa.ListArray.from_arrays(offsets, pa.array(hashed[first].view(np.int64)))
+            heads = first[begin]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchored[heads].view(np.int64)), pa.array(keys[heads]), pa.array(places[heads]), runs, none, none, none], names
+            )
             later, origin = order[~head], origin[~head]
             apart = (keys[later] != keys[origin]) | (places[later] != places[origin])  # rows of one id are one document
             later, origin = later[apart], origin[apart]
@@ -137,37 +148,43 @@ def _spans(joined: DataFrame, window: int, anchor: int) -> DataFrame:
                 continue
             back = np.lexsort((places[later], keys[later]))
             later, origin = later[back], origin[back]
-            k, p, sk, sp = keys[later], places[later], keys[origin], places[origin]
+            k, q, sk, sq = keys[later], places[later], keys[origin], places[origin]
             joint = np.zeros(len(later), bool)
-            joint[1:] = (k[1:] == k[:-1]) & (p[1:] == p[:-1] + 1) & (sk[1:] == sk[:-1]) & (sp[1:] == sp[:-1] + 1)
+            joint[1:] = (k[1:] == k[:-1]) & (q[1:] == q[:-1] + 1) & (sk[1:] == sk[:-1]) & (sq[1:] == sq[:-1] + 1)
             begin = np.flatnonzero(~joint)
             length = np.diff([*begin, len(later)])
-            yield _rows(k[begin], np.zeros(len(begin), np.int64), k[begin], p[begin], length, sk[begin], sp[begin])
-
-    def _rows(p, check, key, start, length, source, source_start) -> pa.RecordBatch:
-        none = pa.nulls(len(p), pa.int64())
-        columns = [pa.array(np.asarray(c, np.int64)) if c is not None else none for c in (p, check, key, start, length, source, source_start)]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["p", "check", "key", "start", "edges", "source", "source_start"]
-    sent = joined.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-    kind = F.col("edges").isNull()
-    same = Window.partitionBy("p", "check", kind).orderBy("key", "start").rowsBetween(Window.unboundedPreceding, 0)
-    origin = F.first(F.struct("key", "start")).over(same)
-    later = sent.withColumn("origin", origin).where(
-        ~kind | (F.col("key") != F.col("origin.key")) | (F.col("start") != F.col("origin.start"))
+            columns = [k[begin], q[begin], length, sk[begin], sq[begin]]
+            key, start, length, source, source_start = (pa.array(np.asarray(c, np.int64)) for c in columns)
+            yield pa.RecordBatch.from_arrays(
+                [key, key, start, pa.nulls(len(begin), pa.list_(pa.int64())), length, source, source_start], names
+            )
+
+    names = ["p", "key", "start", "runs", "edges", "source", "source_start"]
+    sent = joined.mapInArrow(run, "p long, key long, start long, runs array<long>, edges long, source long, source_start long")
+    # one move by anchor: everything up to the paths of one anchor happens within its partition
+    unrolled = sent.repartition("p").select(
+        "p", "key", "edges", "source", "source_start", "start", F.posexplode_outer("runs").alias("i", "h")
+    ).withColumn("start", F.col("start") + F.coalesce("i", F.lit(0))).drop("i")
+    same = Window.partitionBy("p", "h").orderBy("key", "start").rowsBetween(Window.unboundedPreceding, 0)
+    later = unrolled.withColumn("origin", F.first(F.struct("key", "start")).over(same)).where(
+        F.col("h").isNull() | (F.col("key") != F.col("origin.key")) | (F.col("start") != F.col("origin.start"))
     ).select(
-        "key", "start", F.coalesce("edges", F.lit(1)).alias("edges"),
+        "p", "key", "start", F.coalesce("edges", F.lit(1)).alias("edges"),
         F.coalesce("source", "origin.key").alias("source"), F.coalesce("source_start", "origin.start").alias("source_start"),
     )
-    along = Window.partitionBy("key").orderBy("start")
+    return _paths(_paths(later, ["p", "key"]), ["key"])
+
+
+def _paths(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Compact edges that follow each other here and in their source to one row."""
+    along = Window.partitionBy(*by).orderBy("start")
     follows = (
         (F.lag(F.col("start") + F.col("edges")).over(along) == F.col("start"))
         & (F.lag("source").over(along) == F.col("source"))
         & (F.lag(F.col("source_start") + F.col("edges")).over(along) == F.col("source_start"))
     )
-    paths = later.withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("path", F.sum("begins").over(along))
-    return paths.groupBy("key", "path").agg(
+    numbered = edges.withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("path", F.sum("begins").over(along))
+    return numbered.groupBy(*by, "path").agg(
         F.min("start").alias("start"), F.sum("edges").alias("edges"), F.first("source").alias("source"), F.min("source_start").alias("source_start")
     ).drop("path")
 
