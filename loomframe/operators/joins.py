@@ -22,25 +22,19 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how
     """
     total = left.count() if rows is None else rows
     share = max(rows_per_range(left), -(-total // MAX_HOT_KEYS))
-    matched = F.col(left_key) == F.col(right_key)
-    if total <= share:
-        return left.join(right, matched, how)
-    hot = cut_lineage(
-        left.groupBy(F.col(left_key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
-        .where((F.col("__n") > share) & F.col("__hot").isNotNull())
-        .select("__hot", F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
+    hot = F.broadcast(
+        cut_lineage(
+            left.groupBy(F.col(left_key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+            .where((F.col("__n") > share) & F.col("__hot").isNotNull())
+            .select("__hot", F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
+        )
     )
-    if hot.isEmpty():
-        return left.join(right, matched, how)
-    hot = F.broadcast(hot)
-    cold = left.join(hot, F.col(left_key) == F.col("__hot"), "left_anti").join(right, matched, how)
-    salted = left.join(hot, F.col(left_key) == F.col("__hot")).withColumn(
-        "__salt", F.pmod(F.xxhash64(*left.columns), F.col("__salts")).cast("int")
+    salts = F.coalesce("__salts", F.lit(1))  # every other key has one
+    salted = left.join(hot, F.col(left_key) == F.col("__hot"), "left").withColumn(
+        "__salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int")
     )
-    copies = right.join(hot, F.col(right_key) == F.col("__hot")).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))
+    copies = right.join(hot, F.col(right_key) == F.col("__hot"), "left").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    split = salted.drop("__hot", "__salts").join(
-        copies.drop("__hot", "__salts"), matched & (F.col("__salt") == F.col("__copy")), how
-    )
-    return cold.unionByName(split.drop("__salt", "__copy"))
+    matched = (F.col(left_key) == F.col(right_key)) & (F.col("__salt") == F.col("__copy"))
+    return salted.drop("__hot", "__salts").join(copies.drop("__hot", "__salts"), matched, how).drop("__salt", "__copy")

@@ -9,7 +9,6 @@ a row depends on nothing but its own keys and survives recomputation on another
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,10 +21,12 @@ from loomframe.session import cut_lineage
 ROWS_PER_RANGE_CONF = "spark.loomframe.rowsPerRange"
 ROWS_PER_RANGE = 200_000
 MAX_RANGES = 4_096
-UNROLLED_CUTS = 128
 SAMPLES_PER_RANGE = 20
 BUCKET_ROWS = 8_192
 
+#: Types of columns that may travel with the keys.
+_SMALL = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 _RANGE = "__range"
 _MORE = "__earlier"
 
@@ -68,62 +69,66 @@ def rows_per_range(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_RANGE_CONF, str(ROWS_PER_RANGE)))
 
 
-def _sql_literal(value, dtype: T.DataType) -> str:
-    if value is None:
+def _key_text(key: str, dtype: T.DataType) -> Column:
+    """A key as text that Spark itself writes, so no value passes through the driver's types or time zone."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(key).cast("string")
+    if isinstance(dtype, (T.BinaryType, T.StringType)):
+        return F.hex(F.col(key).cast("binary"))
+    return F.col(key).cast("string")
+
+
+def _literal(text: str | None, dtype: T.DataType) -> str:
+    if text is None:
         return f"cast(null as {dtype.simpleString()})"
-    if isinstance(value, str):
-        return f"decode(X'{value.encode('utf-8').hex()}', 'UTF-8')"
-    if isinstance(value, (dt.datetime, dt.date)):
-        return f"cast('{value.isoformat(sep=' ') if isinstance(value, dt.datetime) else value}' as {dtype.simpleString()})"
-    return f"cast('{value!r}' as {dtype.simpleString()})"
+    if isinstance(dtype, T.TimestampType):
+        return f"timestamp_micros({text}L)"
+    if isinstance(dtype, T.BinaryType):
+        return f"X'{text}'"
+    if isinstance(dtype, T.StringType):
+        return f"decode(X'{text}', 'UTF-8')"
+    return f"cast('{text}' as {dtype.simpleString()})"
 
 
 def _cuts(narrow: DataFrame, keys: Sequence[str], total: int, size: int) -> list[tuple]:
-    """Keys that cut the sorted table into ranges of about equal size, from a sample of bounded size."""
-    ranges = min(MAX_RANGES, -(-total // size))
-    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / total)
-    sample = narrow.select(*keys).sample(fraction=fraction, seed=11).orderBy(*keys).collect()
+    """Keys that cut the sorted table into ranges of about equal size, from a sample of bounded size.
+
+    The number of ranges follows from the number of rows, two at least, so that a table of any size
+    goes the same way.
+    """
+    ranges = min(MAX_RANGES, max(2, -(-total // size)))
+    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / max(total, 1))
+    texts = [_key_text(k, narrow.schema[k].dataType).alias(f"k{i}") for i, k in enumerate(keys)]
+    sample = narrow.select(*keys).sample(fraction=fraction, seed=11).orderBy(*keys).select(*texts).collect()
     picked = [tuple(sample[len(sample) * i // ranges]) for i in range(1, ranges)] if sample else []
     return list(dict.fromkeys(picked))
 
 
 def _with_range(df: DataFrame, keys: Sequence[str], cuts: list[tuple]) -> DataFrame:
-    """Add the number of cuts at or below the row's keys: a binary search over a literal array.
-
-    For a few cuts each halving is a projection of its own, which keeps the search in generated
-    code; for many, a fold keeps the plan small by naming the array once.
-    """
+    """Add the number of cuts at or below the row's keys: a binary search over a literal array."""
     if not cuts:
         return df.withColumn(_RANGE, F.lit(0))
     types = [df.schema[k].dataType for k in keys]
     bounds = F.expr(
         "array("
         + ", ".join(
-            "named_struct(" + ", ".join(f"'k{i}', {_sql_literal(v, t)}" for i, (v, t) in enumerate(zip(cut, types))) + ")"
+            "named_struct(" + ", ".join(f"'k{i}', {_literal(v, t)}" for i, (v, t) in enumerate(zip(cut, types))) + ")"
             for cut in cuts
         )
         + ")"
     )
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    top = len(cuts).bit_length() - 1
-    steps = [1 << bit for bit in range(top, -1, -1)]
+    steps = [1 << bit for bit in range(len(cuts).bit_length() - 1, -1, -1)]
 
     def above(found: Column, step: Column) -> Column:
         return F.get(bounds, found + step - 1) <= F.col("__key")  # null beyond the last cut
 
-    searched = df.withColumn("__key", key)
-    if len(cuts) > UNROLLED_CUTS:
-        found = F.aggregate(
-            F.array(*[F.lit(step) for step in steps]),
-            F.lit(0),
-            lambda found, step: F.when(above(found, step), found + step).otherwise(found),
-        )
-        return searched.withColumn(_RANGE, found).drop("__key")
-    searched = searched.withColumn(_RANGE, F.lit(0))
-    for step in steps:
-        found = F.col(_RANGE)
-        searched = searched.withColumn(_RANGE, found + F.when(above(found, F.lit(step)), step).otherwise(0))
-    return searched.drop("__key")
+    found = F.aggregate(
+        F.array(*[F.lit(step) for step in steps]),
+        F.lit(0),
+        lambda found, step: F.when(above(found, step), found + step).otherwise(found),
+    )
+    return df.withColumn("__key", key).withColumn(_RANGE, found).drop("__key")
 
 
 def running(
@@ -136,21 +141,23 @@ def running(
     """Add running values in ``order`` within ``group``; ``order`` must be unique within a group.
 
     ``rows`` is an upper bound on the row count where the caller knows one (a parquet row count is
-    free, counting a derived table is not). Tables that fit one range take one plain window.
+    free, counting a derived table is not). Keys and values are written once; a table that holds
+    nothing else is not computed again, any other is read a second time to be given the results.
     """
     size = rows_per_range(df)
-    total = df.count() if rows is None else rows
-    if total <= size:
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumns(
-            {n: r.merge(F.lit(None).cast("long") if r.kind == "sum" else F.lit(None),
-                        r.over(r.value, r.frame(window))) for n, r in values.items()}
-        )
-
     group, order = list(group), list(order)
     inputs = {f"__in_{n}": r.value for n, r in values.items()}
-    narrow = cut_lineage(df.select(*group, *order, *[c.alias(n) for n, c in inputs.items()]))
+    keys = list(dict.fromkeys([*group, *order]))
+    plain = [c for c in df.columns if c not in keys and isinstance(df.schema[c].dataType, _SMALL)]
+    narrow = cut_lineage(df.select(*keys, *plain, *[c.alias(n) for n, c in inputs.items()]))
+    total = narrow.count() if rows is None else rows
     cuts = _cuts(narrow, group + order, total, size)
+    if set(df.columns) <= {*keys, *plain}:
+        df = narrow.select(*df.columns, *inputs)
+        columns = [c for c in df.columns if c not in inputs]
+        values = {n: Running(r.kind, F.col(f"__in_{n}"), r.current) for n, r in values.items()}
+    else:
+        columns = df.columns
 
     over_inputs = {n: Running(r.kind, F.col(f"__in_{n}"), r.current) for n, r in values.items()}
     totals = (
@@ -180,7 +187,7 @@ def running(
         match = match & local[g].eqNullSafe(F.col(f"__g{i}"))
     merged = {n: r.merge(F.col(f"__carry_{n}"), F.col(f"__local_{n}")) for n, r in values.items()}
     return local.join(F.broadcast(carry), match, "left").select(
-        *[local[c] for c in df.columns if c not in merged], *[c.alias(n) for n, c in merged.items()]
+        *[local[c] for c in columns if c not in merged], *[c.alias(n) for n, c in merged.items()]
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.operators.ordering import Running, rows_per_range, running
+from loomframe.operators.ordering import Running, running
 from loomframe.operators.tokens import Carrier
 
 
@@ -27,13 +27,10 @@ def place(
 ) -> DataFrame:
     """Documents with their place in the stream.
 
-    Offsets are worked out on the narrow table and joined back, so only lengths are sorted. An
-    offset table of at most one range of rows is broadcast and the text then does not move at all.
+    Offsets are worked out on the narrow table and joined back, so only lengths are sorted. Whether
+    they are small enough to be broadcast is for Spark to say.
     """
-    total = docs.count() if rows is None else rows
-    offsets = token_offsets(docs, order, count, group, total)
-    if total <= rows_per_range(docs):
-        offsets = F.broadcast(offsets)
+    offsets = token_offsets(docs, order, count, group, rows)
     return docs.select(*group, order, tokens.alias("tokens")).join(offsets, [*group, order])
 
 

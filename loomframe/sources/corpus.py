@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
     """A parquet table as a stream of its files.
 
@@ -24,13 +25,8 @@ def read_corpus(spark: SparkSession, path: str, text: str = "text", order: str =
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for work that costs more than moving its input.
-
-    A table with fewer file splits than the cluster has cores is repartitioned; any larger one is
-    left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Deal rows out evenly by ``key``, for work that costs more than moving its input."""
+    return df.repartition(key)
 
 
 def read_messages(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 import datetime as dt
 import random
+import re
+import time
 
 import pandas as pd
 import pytest
@@ -67,14 +69,53 @@ def test_row_index_does_not_depend_on_partitions(spark, ranges, partitions):
         assert [r.i for r in got] == list(range(120))
 
 
-@pytest.mark.parametrize("unrolled", [0, 1000])
-def test_both_range_searches_agree(spark, tiny_ranges, monkeypatch, unrolled):
-    monkeypatch.setattr(ordering, "UNROLLED_CUTS", unrolled)
+def test_many_ranges(spark, tiny_ranges):
     df = spark.range(300).select((F.col("id") * 7 % 300).alias("k"))
     got = row_index(df, ["k"], "i").collect()
     assert all(r.i == r.k for r in got) and len(got) == 300
 
 
+@pytest.mark.parametrize(
+    "dtype, value",
+    [
+        ("decimal(20,4)", "cast(id * 1.0001 - 50 as decimal(20,4))"), ("binary", "unhex(lpad(hex(id), 4, '0'))"),
+        ("timestamp", "timestamp_micros(id * 3600000001)"), ("timestamp_ntz", "timestamp_ntz '2024-03-09 00:00:00' + make_interval(0, 0, 0, 0, id)"),
+        ("date", "date_add(date '1969-11-01', cast(id as int))"), ("double", "id / 7.0D - 9"), ("string", "concat('é\\'', lpad(cast(id as string), 4, '0'))"),
+        ("boolean", "id > 99"), ("smallint", "cast(id - 100 as smallint)"),
+    ],
+)
+def test_keys_of_all_types_under_any_time_zone(spark, tiny_ranges, monkeypatch, dtype, value):
+    """The driver's zone must not matter: values never become Python objects."""
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = spark.range(200).select("id", F.expr(value).cast(dtype).alias("k")).repartition(7)
+        cuts = ordering._cuts(df, ["k", "id"], 200, 7)
+        spread = ordering._with_range(df, ["k", "id"], cuts).groupBy(ordering._RANGE).count().collect()
+        got = row_index(df, ["k", "id"], "i").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        monkeypatch.undo()
+        time.tzset()
+    assert [r["id"] for r in sorted(got, key=lambda r: r["i"])] == list(range(200))
+    assert len(spread) > 15 and max(r["count"] for r in spread) < 40
+
+
+def test_one_plan_for_every_size(spark, monkeypatch):
+    def operators(rows):
+        df = spark.range(rows).withColumn("g", F.col("id") % 3)
+        plan = row_index(df, ["id"], "i", ["g"])._jdf.queryExecution().sparkPlan().toString()
+        return re.findall(r"^[ :+\-]*(\w+)", plan, re.M)
+
+    assert operators(50) == operators(5_000)
+    spark.conf.set(ordering.ROWS_PER_RANGE_CONF, "500")
+    try:
+        assert operators(5_000) == operators(50)
+    finally:
+        spark.conf.unset(ordering.ROWS_PER_RANGE_CONF)
+
+
 def test_ties_in_the_group_and_composite_order(spark, tiny_ranges):
     rows = [(i // 40, i % 40 // 4, i % 4, 0.5 * i) for i in range(160)]
     df = spark.createDataFrame(rows, "g int, a int, b int, v double")
