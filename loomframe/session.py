@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,26 +25,30 @@ def get_session(master: str | None = None, app: str = "loomframe", **conf: str)
     return builder.getOrCreate()
 
 
+#: Tables written by this process and not yet released.
+_written: list[str] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder, because there driver and executors share one disk.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse
+    is used, which driver and executors share as well.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if configured is None:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/loomframe-work"
     if sc.getCheckpointDir() is None:
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            configured = tempfile.mkdtemp(prefix="loomframe-ckpt-")
         sc.setCheckpointDir(configured)
-    return configured or sc.getCheckpointDir()
+    return configured
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for a table one job writes and another reads."""
-    return f"{checkpoint_root(spark).rstrip('/')}/work/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/work/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -56,3 +59,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = work_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this process; call it when results have been consumed.
+
+    Gives the number of tables. Whatever was read from them can't be computed again.
+    """
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths, _written[:] = list(_written), []
+    for path in paths:
+        place = files.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
