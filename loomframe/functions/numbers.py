@@ -26,11 +26,29 @@ def format_duration(seconds: Column) -> Column:
     minutes = F.floor(F.pmod(seconds, F.lit(3600.0)) / 60)
     return (
         F.when(seconds < 60, F.format_string("%.0fs", F.bround(seconds, 0)))
-        .when(seconds < 3600, F.format_string("%.1fm", seconds / 60))
+        .when(seconds < 3600, F.format_string("%.1fm", F.bround(seconds / 60, 1)))
         .otherwise(F.format_string("%dh%dm", hours, minutes))
     )
 
 
+# Digits that logs keep of each column; columns that are not listed are kept whole.
+LOGGED_DIGITS = {
+    "loss": 6, "smooth_loss": 6, "val_loss": 6, "best_val_loss": 6, "val_perplexity": 4, "grad_norm": 4,
+    "vram_used_gb": 2, "vram_peak_gb": 2, "tokens_per_sec": 1, "elapsed_sec": 1,
+}
+
+
+def as_logged(columns: list[str], digits: dict[str, int] | None = None) -> list[Column]:
+    """Columns rounded as logs print them, ties to even; infinite values and numbers that are none stay."""
+    digits = LOGGED_DIGITS if digits is None else digits
+
+    def value(name: str) -> Column:
+        finite = F.abs(F.col(name)) < INFINITY
+        return F.when(finite, F.bround(name, digits[name])).otherwise(F.col(name)).alias(name) if name in digits else F.col(name)
+
+    return [value(name) for name in columns]
+
+
 def lr_schedule(step: Column, warmup: int, max_steps: int, peak: float, floor: float) -> Column:
     """Linear warm-up, cosine decay to ``floor``, then ``floor``."""
     decayed = (step - warmup) / F.lit(float(max(max_steps - warmup, 1)))

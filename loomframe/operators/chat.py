@@ -161,8 +161,9 @@ def chat_context(
     neighbouring buckets, so each is put together by equi-joins on the bucket number and no chat
     is ever collected whole.
     """
-    asked = F.concat(F.lit(USER_MARK + "\n"), F.col("text"), F.lit("\n" + ASSISTANT_MARK + "\n"))
-    answered = F.concat(F.col("text"), F.lit("\n" + END_MARK))
+    text = F.coalesce("text", F.lit(""))
+    asked = F.concat(F.lit(USER_MARK + "\n"), text, F.lit("\n" + ASSISTANT_MARK + "\n"))
+    answered = F.concat(text, F.lit("\n" + END_MARK))
     is_prompt = F.coalesce(F.col("role") == PROMPTER, F.lit(False))
     said = turns.select(
         key, order, is_prompt.alias("is_prompt"),

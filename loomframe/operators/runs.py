@@ -107,11 +107,11 @@ def trend_check(log: DataFrame, metric: str = "loss", k: int = 10) -> DataFrame:
 
 
 def best_point(log: DataFrame, metric: str = "val_loss") -> DataFrame:
-    """Lowest value, the step that first reached it, and the last value."""
+    """Lowest value, the step that first reached it, and the last value there is."""
     return log.groupBy(RUN).agg(
         F.min(metric).alias("best"),
-        F.min_by(STEP, F.struct(metric, STEP)).alias("best_step"),
-        F.max_by(metric, STEP).alias("last"),
+        F.min_by(STEP, F.when(F.col(metric).isNotNull(), F.struct(metric, STEP))).alias("best_step"),
+        F.max_by(metric, F.when(F.col(metric).isNotNull(), F.col(STEP))).alias("last"),
     )
 
 
@@ -179,16 +179,45 @@ def run_summary(train: DataFrame, evals: DataFrame, k: int = 100) -> DataFrame:
     )
 
 
-def summary_text(summary: DataFrame) -> DataFrame:
-    """The summary as one Markdown table row per figure, per run."""
-    figures = [
-        ("Initial Loss", F.format_string("%.4f", "head_mean")),
-        ("Final Loss", F.format_string("%.4f", "tail_mean")),
-        ("Min Training Loss", F.format_string("%.4f", "min_loss")),
-        ("Best Val Loss", F.format_string("%.4f", "best_val_loss")),
-        ("Best Val Perplexity", F.format_string("%.2f", "best_perplexity")),
-        ("Avg Throughput", F.format_string("%.0f tokens/sec", "throughput")),
-        ("Total Training Time", F.col("duration")),
-    ]
-    lines = [F.concat_ws("", F.lit(f"| {label} | "), text, F.lit(" |")) for label, text in figures]
-    return summary.select(RUN, F.concat_ws("\n", F.lit("| Metric | Value |"), F.lit("|---|---|"), *lines).alias("report"))
+#: Figures of a report in order, and the digits they are shown with.
+_FIGURES = {
+    "head_mean": 4, "tail_mean": 4, "min_loss": 4, "best_val_loss": 4, "best_perplexity": 2, "throughput": 0, "duration": None,
+}
+
+
+def _shown(name: str, digits: int | None) -> Column:
+    if digits is None:
+        return F.col(name).cast("string")
+    return F.format_string(f"%.{digits}f", F.bround(F.col(name).cast("double"), digits))
+
+
+def _table(columns: Sequence[str], rows: Column) -> Column:
+    head = [F.lit(f"| {' | '.join(c.replace('_', ' ') for c in columns)} |"), F.lit("|" + "---|" * len(columns))]
+    return F.concat_ws("\n", *head, rows)
+
+
+def summary_text(summary: DataFrame, evals: DataFrame | None = None, samples: DataFrame | None = None,
+                 last_evals: int = 50, last_samples: int = 5, sample_chars: int = 300) -> DataFrame:
+    """``run, report``: the summary as Markdown, with the last evaluations and the last samples of each run.
+
+    Labels are the column names. A report shows at most ``last_evals`` evaluations and
+    ``last_samples`` samples (``run, step, prompt, text``), newest last; row numbers are limited
+    before the shuffle, so a long run sends no more than that.
+    """
+    lines = [F.format_string("| %s | %s |", F.lit(n.replace("_", " ")), F.coalesce(_shown(n, d), F.lit("-"))) for n, d in _FIGURES.items()]
+    report = summary.select(RUN, _table(["metric", "value"], F.concat_ws("\n", *lines)).alias("report"))
+
+    def latest(df: DataFrame, n: int, line: Column) -> DataFrame:
+        newest = df.withColumn("__rn", F.row_number().over(Window.partitionBy(RUN).orderBy(F.col(STEP).desc()))).where(F.col("__rn") <= n)
+        in_order = F.array_sort(F.collect_list(F.struct(F.col(STEP).alias("step"), line.alias("line"))))
+        return newest.groupBy(RUN).agg(F.concat_ws("\n", F.transform(in_order, lambda x: x["line"])).alias("__lines"))
+
+    if evals is not None:
+        line = F.concat(F.lit("| "), F.concat_ws(" | ", F.col(STEP).cast("string"), _shown("val_loss", 4), _shown("val_perplexity", 2)), F.lit(" |"))
+        history = latest(evals, last_evals, line).select(RUN, _table(["step", "val_loss", "val_perplexity"], F.col("__lines")).alias("__evals"))
+        report = report.join(history, RUN, "left").select(RUN, F.concat_ws("\n\n", "report", "__evals").alias("report"))
+    if samples is not None:
+        line = F.concat(F.lit("step "), F.col(STEP).cast("string"), F.lit(": "), F.col("prompt"), F.lit(" -> "), F.substring("text", 1, sample_chars))
+        told = latest(samples, last_samples, line).select(RUN, F.col("__lines").alias("__samples"))
+        report = report.join(told, RUN, "left").select(RUN, F.concat_ws("\n\n", "report", "__samples").alias("report"))
+    return report

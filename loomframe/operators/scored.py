@@ -11,16 +11,18 @@ from loomframe.operators.joins import lookup
 from loomframe.operators.ordering import Running, running
 
 
-def masked_loss(scored: DataFrame, batch_size: int, max_batches: int = 50) -> DataFrame:
-    """Evaluation loss of ``seq, pos, label, nll`` over the first batches.
+def masked_loss(scored: DataFrame, batch_size: int, max_batches: int | None = None) -> DataFrame:
+    """Evaluation loss of ``seq, pos, label, nll`` over all batches, or the first ``max_batches``.
 
     ``loss`` averages the batch means, as evaluation reports it; ``token_loss`` weighs every token
     the same. A batch without any label has no mean, which makes the average not a number.
     """
     batch = F.call_function("div", F.col("seq"), F.lit(batch_size).cast("long"))
     counted = F.when(F.col("label") != IGNORED, F.col("nll"))
+    if max_batches is not None:
+        scored = scored.where(F.col("seq") < batch_size * max_batches)
     batches = (
-        scored.where(F.col("seq") < batch_size * max_batches)
+        scored
         .groupBy(batch.alias("batch"))
         .agg(
             F.coalesce(F.avg(counted), F.lit(float("nan"))).alias("mean"),
@@ -35,8 +37,8 @@ def masked_loss(scored: DataFrame, batch_size: int, max_batches: int = 50) -> Da
     )
 
 
-def label_coverage(examples: DataFrame, key: str, first: int | None = 100) -> DataFrame:
-    """Share of label positions that carry loss, over the first examples."""
+def label_coverage(examples: DataFrame, key: str, first: int | None = None) -> DataFrame:
+    """Share of label positions that carry loss, over all examples or the ``first``."""
     rows = examples.select(key, F.size("labels").alias("n"),
                            F.size(F.filter("labels", lambda v: v != IGNORED)).alias("kept"))
     if first is not None:

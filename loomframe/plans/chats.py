@@ -13,6 +13,8 @@ from loomframe.plans.tables import (
     BLOCK, INSTRUCTIONS_SQL, MESSAGES_SQL, SQL_SPACE, TURNS_SQL, instructions, load, messages, turns,
 )
 from loomframe.plans.text import total, weighted_total
+from loomframe.session import work_path
+from loomframe.sources import corpus
 
 _USER, _ASSISTANT, _END = chat.USER_MARK, chat.ASSISTANT_MARK, chat.END_MARK
 _RENDERED = f"""CASE WHEN role = 'prompter' THEN '{_USER}' || chr(10) || text || chr(10)
@@ -25,14 +27,20 @@ def digest(column: str):
 
 @query("scan_messages", f"WITH {MESSAGES_SQL} SELECT message_id, parent_id, role, lang, md5(text) AS digest FROM messages")
 def scan_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages(spark, sf_dir).select("message_id", "parent_id", "role", "lang", digest("text"))
+    """The forest written by language and read back."""
+    path = work_path(spark, "messages")
+    messages(spark, sf_dir).withColumn("split", F.col("lang")).write.partitionBy("split").parquet(path)
+    german, english = (corpus.read_messages(spark, path, split) for split in ("de", "en"))
+    return german.unionByName(english).select("message_id", "parent_id", "role", "lang", digest("text"))
 
 
 @query("scan_instructions", f"""
-WITH {INSTRUCTIONS_SQL} SELECT conv_id, md5(instruction) AS instruction, md5(input) AS input, md5(output) AS output FROM instructions""")
+WITH {INSTRUCTIONS_SQL} SELECT pair_id, md5(instruction) AS instruction, md5(input) AS input, md5(output) AS output FROM instructions""")
 def scan_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return instructions(spark, sf_dir).select(
-        "conv_id", *[F.md5(F.col(c).cast("binary")).alias(c) for c in ("instruction", "input", "output")]
+    path = work_path(spark, "instructions")
+    instructions(spark, sf_dir).write.parquet(path)
+    return corpus.read_instructions(spark, path).select(
+        "pair_id", *[F.md5(F.col(c).cast("binary")).alias(c) for c in ("instruction", "input", "output")]
     )
 
 
@@ -45,12 +53,12 @@ def min_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("instruction_chat", f"""
 WITH {INSTRUCTIONS_SQL},
 kept AS (SELECT * FROM instructions WHERE regexp_matches(output, '[^{SQL_SPACE}]'))
-SELECT conv_id, 0::BIGINT AS pos, 'prompter' AS role,
+SELECT pair_id, 0::BIGINT AS pos, 'prompter' AS role,
        md5(CASE WHEN regexp_matches(coalesce(input, ''), '[^{SQL_SPACE}]')
            THEN instruction || chr(10) || chr(10) || 'Input: ' || input ELSE instruction END) AS digest FROM kept
-UNION ALL SELECT conv_id, 1::BIGINT, 'assistant', md5(output) FROM kept""")
+UNION ALL SELECT pair_id, 1::BIGINT, 'assistant', md5(output) FROM kept""")
 def instruction_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.instruction_turns(instructions(spark, sf_dir), "conv_id").select("conv_id", "pos", "role", digest("text"))
+    return chat.instruction_turns(instructions(spark, sf_dir), "pair_id").select("pair_id", "pos", "role", digest("text"))
 
 
 @query("chat_render", f"""
@@ -122,15 +130,13 @@ def sft_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("label_coverage", f"""
-WITH {_PLACED}, firsts AS (SELECT DISTINCT conv_id FROM placed ORDER BY conv_id LIMIT 100),
+WITH {_PLACED}, firsts AS (SELECT DISTINCT conv_id FROM placed),
 kept AS (SELECT greatest(least(start + n, {BLOCK + 1}) - greatest(start + lead, 1), 0) AS labels FROM placed JOIN firsts USING (conv_id))
 SELECT sum(labels)::BIGINT AS labels, ((SELECT count(*) FROM firsts) * {BLOCK})::BIGINT AS positions,
        round(sum(labels) * 100.0 / ((SELECT count(*) FROM firsts) * {BLOCK}), 6)::DOUBLE AS coverage FROM kept""")
 def label_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = turns(spark, sf_dir)
-    firsts = chats.select("conv_id").distinct().orderBy("conv_id").limit(100)
-    chosen = chats.join(F.broadcast(firsts), "conv_id", "left_semi")
-    covered = scored.label_coverage(chat.sft_examples(chosen, BYTES, BLOCK, "conv_id", "turn"), "conv_id", 100)
+    covered = scored.label_coverage(chat.sft_examples(chats, BYTES, BLOCK, "conv_id", "turn", rows=chats.count()), "conv_id")
     return covered.withColumn("coverage", F.round("coverage", 6))
 
 
@@ -214,14 +220,16 @@ _CONTEXT = 724
 
 
 @query("chat_context", f"""
-WITH {TURNS_SQL}, said AS (
+WITH {TURNS_SQL}, gaps AS (SELECT conv_id, turn, role, CASE WHEN (conv_id + turn) % 11 = 0 THEN '' ELSE text END AS text FROM turns),
+said AS (
   SELECT conv_id, turn, role, CASE WHEN role = 'prompter' THEN '{_USER}' || chr(10) || text || chr(10) || '{_ASSISTANT}' || chr(10)
-    ELSE text || chr(10) || '{_END}' END AS s FROM turns WHERE role IN ('prompter', 'assistant')),
+    ELSE text || chr(10) || '{_END}' END AS s FROM gaps),
 seen AS (SELECT conv_id, turn, role, right(string_agg(hex(encode(s)), '') OVER (PARTITION BY conv_id ORDER BY turn), {2 * _CONTEXT}) AS h FROM said)
 SELECT conv_id, turn, (length(h) // 2)::BIGINT AS n_tokens, md5(h) AS digest FROM seen WHERE role = 'prompter'""")
 def chat_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns, system turns included; every eleventh text is missing."""
     chats = turns(spark, sf_dir)
-    spoken = chats.where(F.col("role").isin(chat.PROMPTER, "assistant"))
+    spoken = chats.withColumn("text", F.when((F.col("conv_id") + F.col("turn")) % 11 != 0, F.col("text")))
     seen = chat.chat_context(spoken, BYTES, _CONTEXT, "conv_id", "turn", rows=chats.count())
     hexed = F.array_join(F.transform("context", lambda t: F.lpad(F.hex(t), 2, "0")), "")
     return seen.select("conv_id", "turn", F.size("context").cast("long").alias("n_tokens"), F.md5(hexed.cast("binary")).alias("digest"))
@@ -251,3 +259,12 @@ def trim_at_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = chats.select("conv_id", "turn", BYTES.ids(BYTES.from_text(F.col("text"))).alias("tokens"))
     cut = scored.trim_at_stop(said, "tokens", [ord("."), ord(" ")], BYTES.end)
     return cut.withColumn("kept", strip(decode_bytes(F.col("tokens")))).select("conv_id", "turn", digest("kept"))
+
+
+@query("keep_last", """
+SELECT conv_id, turn, md5(right(hex(encode(text)), 100)) AS digest FROM conversations""")
+def keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 50 byte tokens of each turn."""
+    said = load(spark, sf_dir, "conversations").select("conv_id", "turn", BYTES.ids(BYTES.from_text(F.col("text"))).alias("tokens"))
+    hexed = F.array_join(F.transform(scored.keep_last(F.col("tokens"), 50), lambda t: F.lpad(F.hex(t), 2, "0")), "")
+    return said.select("conv_id", "turn", F.md5(hexed.cast("binary")).alias("digest"))

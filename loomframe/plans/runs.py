@@ -100,11 +100,14 @@ def trend_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.trend_check(train_log(spark, sf_dir)).select("run", *rounded("head_mean", "tail_mean"), "improved")
 
 
-@query("best_point", f"""{_EVAL}
-SELECT run, min(val_loss) AS best, arg_min(step, {{'v': val_loss, 's': step}}) AS best_step, arg_max(val_loss, step) AS last
-FROM evals GROUP BY run""")
+@query("best_point", f"""{_EVAL}, gaps AS (SELECT run, step, CASE WHEN step % 7 > 0 THEN val_loss END AS v FROM evals)
+SELECT run, min(v) AS best, arg_min(step, {{'v': v, 's': step}}) FILTER (v IS NOT NULL) AS best_step,
+       arg_max(v, step) FILTER (v IS NOT NULL) AS last
+FROM gaps GROUP BY run""")
 def best_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.best_point(eval_log(train_log(spark, sf_dir)))
+    """Every seventh evaluation has no value."""
+    evals = eval_log(train_log(spark, sf_dir)).withColumn("val_loss", F.when(F.col("step") % 7 > 0, F.col("val_loss")))
+    return runs.best_point(evals)
 
 
 @query("avg_throughput", f"""{_LOG}
@@ -150,10 +153,11 @@ def prompt_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("curve_overlay", f"""{_EVAL}
 SELECT l.run, l.step, l.loss, e.val_loss, round(e.val_perplexity, 3) AS val_perplexity
-FROM log l LEFT JOIN evals e ON e.run = l.run AND e.step = l.step""")
+FROM log l LEFT JOIN evals e ON e.run = l.run AND e.step = l.step AND e.step % 50 = 0""")
 def curve_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only every fiftieth step was evaluated."""
     log = train_log(spark, sf_dir)
-    return runs.curve_overlay(log, eval_log(log)).select("run", "step", "loss", "val_loss", *rounded("val_perplexity", digits=3))
+    return runs.curve_overlay(log, runs.interval_rows(eval_log(log), 50)).select("run", "step", "loss", "val_loss", *rounded("val_perplexity", digits=3))
 
 
 @query("curve_downsample", f"""{_LOG}, sized AS (SELECT run, step, loss, step - 1 AS pos, count(*) OVER (PARTITION BY run) AS n FROM log),
@@ -164,15 +168,25 @@ def curve_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.curve_downsample(train_log(spark, sf_dir), rows=event_count(spark, sf_dir)).select("run", "step", "loss", "bar")
 
 
-_DURATION = """CASE WHEN s < 60 THEN printf('%.0fs', round_even(s, 0)) WHEN s < 3600 THEN printf('%.1fm', s / 60)
+_DURATION = """CASE WHEN s < 60 THEN printf('%.0fs', round_even(s, 0)) WHEN s < 3600 THEN printf('%.1fm', round_even(s / 60, 1))
   ELSE floor(s / 3600)::BIGINT || 'h' || floor((s - 3600 * floor(s / 3600)) / 60)::BIGINT || 'm' END"""
 
 
-@query("format_duration", f"""{_LOG} SELECT run, step, {_DURATION} AS duration FROM (SELECT run, step, loss * 40 AS s FROM log)""")
+@query("format_duration", f"""{_LOG} SELECT run, step, {_DURATION} AS duration FROM (
+  SELECT run, step, CASE WHEN step % 2 = 0 THEN floor(loss * 40) * 15 ELSE loss * 40 END AS s FROM log)""")
 def format_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_log(spark, sf_dir).select("run", "step", numbers.format_duration(F.col("loss") * 40).alias("duration"))
+    """Half of the durations are whole quarters of a minute, which tie."""
+    seconds = F.when(F.col("step") % 2 == 0, F.floor(F.col("loss") * 40) * 15.0).otherwise(F.col("loss") * 40)
+    return train_log(spark, sf_dir).select("run", "step", numbers.format_duration(seconds).alias("duration"))
 
 
+@query("logged_rounding", f"""{_LOG}
+SELECT run, step, round_even(loss, 6) AS loss, round_even(grad_norm, 4) AS grad_norm, round_even(elapsed_sec, 1) AS elapsed_sec, tokens_seen
+FROM log""")
+def logged_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["run", "step", "loss", "grad_norm", "elapsed_sec", "tokens_seen"]
+    return train_log(spark, sf_dir).select(*numbers.as_logged(columns))
+
 
 @query("lr_schedule", f"""{_LOG}
 SELECT run, step, round(CASE WHEN step < 100 THEN (step + 1) * 6e-4::DOUBLE / 100 WHEN step >= 1500 THEN 6e-5::DOUBLE
@@ -220,7 +234,9 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("metrics_scan", f"""{_EVAL}, best AS (
   SELECT *, coalesce(min(val_loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                      'inf'::DOUBLE) AS best_val_loss FROM evals)
-SELECT step::INTEGER AS step, val_loss, best_val_loss, tokens_seen FROM best""")
+SELECT step, val_loss, best_val_loss, round(val_perplexity, 6) AS val_perplexity, tokens_seen, elapsed_sec,
+       make_timestamp(1704067200000000 + round(elapsed_sec * 1e6)::BIGINT) AS timestamp
+FROM best""")
 def metrics_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluations written as CSV, an infinite best among them, and read back."""
     best = runs.running_best(eval_log(train_log(spark, sf_dir)), rows=event_count(spark, sf_dir))
@@ -231,51 +247,82 @@ def metrics_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         for c in logs.EVAL_SCHEMA.names
     ])
     logs.write_metrics(written, path)
-    return logs.read_metrics(spark, path, logs.EVAL_SCHEMA).select("step", "val_loss", "best_val_loss", "tokens_seen")
+    read = logs.read_metrics(spark, path, logs.EVAL_SCHEMA)
+    stamp = F.col("timestamp").cast("timestamp_ntz").alias("timestamp")
+    return read.select("step", "val_loss", "best_val_loss", *rounded("val_perplexity"), "tokens_seen", "elapsed_sec", stamp)
 
 
 @query("jsonl_split", """
-SELECT CASE WHEN event_type = 'error' THEN 'eval' ELSE 'train' END AS kind, event_id::INTEGER AS step, value AS loss,
-       CASE WHEN event_type <> 'error' THEN (props->>'$.k')::INTEGER END AS epoch FROM events""")
+SELECT CASE WHEN event_type = 'error' THEN 'eval' ELSE 'train' END AS kind, event_id AS step, value AS loss,
+       CASE WHEN event_type <> 'error' THEN (props->>'$.k')::INTEGER END AS epoch, user_id::VARCHAR AS user, NULL::VARCHAR AS broken FROM events
+UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, 'not json ' || event_id FROM events WHERE event_id % 100 = 0""")
 def jsonl_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as one mixed log of JSON lines, read back and split."""
+    """Events as one mixed log of JSON lines with a key of their own and some broken lines, read back and split."""
     is_eval = F.col("event_type") == "error"
     extra = F.from_json("props", "k INT")["k"]
     rows = load(spark, sf_dir, "events").select(
-        F.when(is_eval, "eval").alias("type"), F.col("event_id").cast("int").alias("step"),
+        F.when(is_eval, "eval").alias("type"), F.col("event_id").alias("step"),
         F.when(~is_eval, F.col("value")).alias("loss"), F.when(is_eval, F.col("value")).alias("val_loss"),
-        F.when(~is_eval, extra).alias("epoch"),
+        F.when(~is_eval, extra).alias("epoch"), F.col("user_id").alias("user"),
     )
     path = work_path(spark, "jsonl")
-    logs.to_jsonl(rows).write.text(path)
-    train, evals = logs.split_jsonl(logs.read_jsonl(spark, path))
-    return train.select(F.lit("train").alias("kind"), "step", "loss", "epoch").unionByName(
-        evals.select(F.lit("eval").alias("kind"), "step", F.col("val_loss").alias("loss"), F.lit(None).cast("int").alias("epoch"))
+    broken = load(spark, sf_dir, "events").where("event_id % 100 = 0").select(F.concat(F.lit("not json "), "event_id").alias("value"))
+    logs.to_jsonl(rows).unionByName(broken).write.text(path)
+    train, evals, rejects = logs.split_jsonl(logs.read_jsonl(spark, path))
+    user = F.col("extra")["user"].alias("user")
+    nothing = F.lit(None).cast("string").alias("broken")
+    return (
+        train.select(F.lit("train").alias("kind"), "step", "loss", "epoch", user, nothing)
+        .unionByName(evals.select(F.lit("eval").alias("kind"), "step", F.col("val_loss").alias("loss"), F.lit(None).cast("int").alias("epoch"), user, nothing))
+        .unionByName(rejects.select(F.lit("broken").alias("kind"), "broken"), allowMissingColumns=True)
     )
 
 
-@query("metrics_append", f"""{_LOG} SELECT run, step, loss FROM log WHERE step % 10 = 0 UNION ALL
-SELECT run, step, loss FROM log WHERE step % 10 = 5""")
+@query("metrics_append", f"{_LOG} SELECT run, step, loss FROM log")
 def metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends to one table, read back."""
     log, path = train_log(spark, sf_dir).select("run", "step", "loss"), work_path(spark, "append")
-    for rest in (0, 5):
-        logs.append_table(log.where(F.col("step") % 10 == rest), path)
+    for rest in (0, 1):
+        logs.append_table(log.where(F.col("step") % 2 == rest), path)
     return spark.read.schema(log.schema).parquet(path)
 
 
 @query("sample_sink", """
 SELECT split, epoch::INTEGER AS epoch, count(*) AS n, sum(position)::BIGINT AS position_sum FROM (
-  SELECT CASE WHEN ('0x' || substr(md5(text), 1, 8))::BIGINT % 10000 < 500 THEN 'validation' ELSE 'train' END AS split, 1 AS epoch,
-         row_number() OVER (ORDER BY md5('0|1|' || doc_id), doc_id) - 1 AS position FROM documents)
+  SELECT CASE WHEN ('0x' || substr(md5(text), 1, 8))::BIGINT % 10000 < 500 THEN 'validation' ELSE 'train' END AS split, epoch,
+         row_number() OVER (PARTITION BY epoch ORDER BY md5('0|' || epoch || '|' || doc_id), doc_id) - 1 AS position
+  FROM documents, (VALUES (1), (2)) e(epoch))
 GROUP BY split, epoch""")
 def sample_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shuffled documents written by split and epoch, read back folder by folder."""
+    """Two epochs of shuffled documents, one written after the other, read back folder by folder."""
     docs = documents(spark, sf_dir)
     tagged = batching.holdout_split(docs, "text", 0.05).select("doc_id", "split")
-    ordered = batching.epoch_order(tagged, "doc_id", epoch=1, rows=docs.count())
-    path = work_path(spark, "samples")
-    logs.write_examples(ordered, path, order="position")
+    path, rows = work_path(spark, "samples"), docs.count()
+    for epoch in (1, 2):
+        logs.write_examples(batching.epoch_order(tagged, "doc_id", epoch=epoch, rows=rows), path, order="position")
     return spark.read.parquet(path).groupBy("split", "epoch").agg(
         F.count(F.lit(1)).alias("n"), F.sum("position").alias("position_sum")
     )
+
+
+@query("run_report", f"""{_EVAL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM log),
+r AS (SELECT run, avg(loss) FILTER (WHERE step <= 100) AS h, avg(loss) FILTER (WHERE back <= 100) AS t, min(loss) AS lo,
+      max(tokens_seen) AS tokens, max(elapsed_sec) AS s FROM ranked GROUP BY run),
+b AS (SELECT run, min(val_loss) AS best FROM evals GROUP BY run),
+h AS (SELECT run, string_agg('| ' || step || ' | ' || printf('%.4f', round_even(val_loss, 4)) || ' | ' || printf('%.2f', round_even(val_perplexity, 2)) || ' |',
+      chr(10) ORDER BY step) AS lines FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM evals) WHERE back <= 50 GROUP BY run),
+p AS (SELECT run, string_agg('step ' || step || ': at ' || tokens_seen || ' -> ' || loss::BIGINT, chr(10) ORDER BY step) AS lines
+      FROM ranked WHERE back <= 5 GROUP BY run)
+SELECT r.run, concat_ws(chr(10), '| metric | value |', '|---|---|', '| head mean | ' || printf('%.4f', round_even(h, 4)) || ' |',
+  '| tail mean | ' || printf('%.4f', round_even(t, 4)) || ' |', '| min loss | ' || printf('%.4f', round_even(lo, 4)) || ' |',
+  '| best val loss | ' || printf('%.4f', round_even(best, 4)) || ' |', '| best perplexity | ' || printf('%.2f', round_even(exp(least(best, 20.0)), 2)) || ' |',
+  '| throughput | ' || printf('%.0f', round_even(tokens / s, 0)) || ' |', '| duration | ' || {_DURATION} || ' |', '', '| step | val loss | val perplexity |',
+  '|---|---|---|', h.lines, '', p.lines) AS report
+FROM r JOIN b USING (run) JOIN h USING (run) JOIN p USING (run)""")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report of each run; samples are stand-ins made from the log."""
+    log = train_log(spark, sf_dir)
+    evals = eval_log(log)
+    prompt, text = F.concat(F.lit("at "), F.col("tokens_seen").cast("string")), F.round("loss").cast("long").cast("string")
+    samples = log.select("run", "step", prompt.alias("prompt"), text.alias("text"))
+    return runs.summary_text(runs.run_summary(log, evals), evals, samples)

@@ -15,7 +15,7 @@ WITH scored AS (
   SELECT vec_id AS seq, CASE WHEN pos % 4 = 1 THEN -1 ELSE pos END AS label, abs(embedding[pos]::DOUBLE) * 10 AS nll
   FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings)),
 batches AS (SELECT seq // 8 AS batch, avg(nll) AS mean, sum(nll) AS total, count(*) AS labels
-  FROM scored WHERE label <> -1 AND seq < 400 GROUP BY 1)
+  FROM scored WHERE label <> -1 GROUP BY 1)
 SELECT round(avg(mean), 6) AS loss, round(sum(total) / sum(labels), 6) AS token_loss, count(*) AS batches FROM batches""")
 def masked_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     exploded = load(spark, sf_dir, "embeddings").select(
@@ -25,7 +25,7 @@ def masked_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq", "pos", F.when(F.col("pos") % 4 == 0, -1).otherwise(F.col("pos")).alias("label"),
         (F.abs(F.col("value").cast("double")) * 10).alias("nll"),
     )
-    return scored.masked_loss(rows, 8, 50).select(F.round("loss", 6).alias("loss"), F.round("token_loss", 6).alias("token_loss"), "batches")
+    return scored.masked_loss(rows, 8).select(F.round("loss", 6).alias("loss"), F.round("token_loss", 6).alias("token_loss"), "batches")
 
 
 @query("topk_ties", f"""

@@ -12,7 +12,6 @@ from loomframe.operators.ordering import row_index
 BLOCK = 1024
 TOKENS_PER_STEP = 51_200
 TOTAL_STEPS = 28_000
-EVAL_EVERY = 50
 ROLE_NAMES = {"user": PROMPTER}
 
 
@@ -45,16 +44,16 @@ LOG_SQL = f"""log AS (
 
 
 def eval_log(log: DataFrame) -> DataFrame:
-    """Every 50th log row as an evaluation."""
+    """Every log row as an evaluation."""
     val = F.col("loss") / 20
-    return log.where(F.col("step") % EVAL_EVERY == 0).select(
+    return log.select(
         "run", "step", val.alias("val_loss"), perplexity(val).alias("val_perplexity"), "tokens_seen", "elapsed_sec"
     )
 
 
-EVAL_SQL = f"""evals AS (
+EVAL_SQL = """evals AS (
   SELECT run, step, loss / 20 AS val_loss, exp(least(loss / 20, 20.0)) AS val_perplexity, tokens_seen, elapsed_sec
-  FROM log WHERE step % {EVAL_EVERY} = 0)"""
+  FROM log)"""
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +65,13 @@ TURNS_SQL = """turns AS (
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three conversations each as one tree: the later ones become replies to the first one's opening."""
+    """Three conversations each as one tree: the later ones open as replies to the first one's opening."""
     chats = turns(spark, sf_dir).withColumn("grp", F.floor(F.col("conv_id") / 3))
     first = chats.groupBy("grp").agg(F.min("conv_id").alias("root_conv"))
-    rows = chats.join(first, "grp").where((F.col("turn") > 0) | (F.col("conv_id") == F.col("root_conv")))
+    rows = chats.join(first, "grp")
     ident = F.col("conv_id") * 1000 + F.col("turn")
-    parent = F.when(F.col("turn") == 1, F.col("root_conv") * 1000).when(F.col("turn") > 1, ident - 1)
+    reply = F.when(F.col("conv_id") != F.col("root_conv"), F.col("root_conv") * 1000)
+    parent = F.when(F.col("turn") > 0, ident - 1).otherwise(reply)
     return rows.select(
         ident.alias("ord"), ident.alias("message_id"), parent.alias("parent_id"), "role", "text",
         F.when(F.col("conv_id") % 7 == 0, "de").otherwise("en").alias("lang"),
@@ -82,15 +82,15 @@ MESSAGES_SQL = TURNS_SQL + """, grouped AS (
   SELECT *, min(conv_id) OVER (PARTITION BY conv_id // 3) AS root_conv FROM turns),
 messages AS (
   SELECT conv_id * 1000 + turn AS ord, conv_id * 1000 + turn AS message_id,
-         CASE WHEN turn = 1 THEN root_conv * 1000 WHEN turn > 1 THEN conv_id * 1000 + turn - 1 END AS parent_id,
+         CASE WHEN turn > 0 THEN conv_id * 1000 + turn - 1 WHEN conv_id <> root_conv THEN root_conv * 1000 END AS parent_id,
          role, text, CASE WHEN conv_id % 7 = 0 THEN 'de' ELSE 'en' END AS lang
-  FROM grouped WHERE turn > 0 OR conv_id = root_conv)"""
+  FROM grouped)"""
 
 
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first exchange of each conversation; a system turn before it is the input."""
+    """Every exchange of each conversation; a system turn before it is the input."""
     chats = turns(spark, sf_dir)
-    asked = chats.where((F.col("role") == PROMPTER) & (F.col("turn") <= 1)).select(
+    asked = chats.where(F.col("role") == PROMPTER).select(
         "conv_id", "turn", F.col("text").alias("instruction")
     )
     answered = chats.where(F.col("role") == "assistant").select(
@@ -101,15 +101,15 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         asked.join(answered, ["conv_id", "turn"]).join(system, ["conv_id", "turn"], "left")
-        .select("conv_id", "instruction", "input", "output")
+        .select((F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), "instruction", "input", "output")
     )
 
 
 INSTRUCTIONS_SQL = TURNS_SQL + """, instructions AS (
-  SELECT u.conv_id, u.text AS instruction, s.text AS input, a.text AS output
+  SELECT u.conv_id * 1000 + u.turn AS pair_id, u.text AS instruction, s.text AS input, a.text AS output
   FROM turns u JOIN turns a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
   LEFT JOIN turns s ON s.conv_id = u.conv_id AND s.turn = u.turn - 1 AND s.role = 'system'
-  WHERE u.role = 'prompter' AND u.turn <= 1)"""
+  WHERE u.role = 'prompter')"""
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:

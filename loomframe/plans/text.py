@@ -68,12 +68,12 @@ def scan_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MIXED = "CASE doc_id % 5 WHEN 0 THEN chr(160) || chr(12288) WHEN 1 THEN '  ' || chr(10) WHEN 2 THEN chr(28) ELSE text END"
+_MIXED = "CASE doc_id % 15 WHEN 0 THEN chr(160) || chr(12288) WHEN 1 THEN '  ' || chr(10) WHEN 2 THEN chr(28) ELSE text END"
 
 
 def mixed_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus with three kinds of blank text in place of every fifth document each."""
-    kind = F.col("doc_id") % 5
+    """The corpus with three kinds of blank text, each in place of every fifteenth document."""
+    kind = F.col("doc_id") % 15
     text = F.when(kind == 0, "\u00a0\u3000").when(kind == 1, "  \n").when(kind == 2, "\x1c").otherwise(F.col("text"))
     return documents(spark, sf_dir).withColumn("text", text)
 

@@ -12,14 +12,15 @@ def _schema(**types: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in types.items()])
 
 
-_INT, _LONG, _DOUBLE, _TIME = T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType()
+_LONG, _DOUBLE, _TIME = T.LongType(), T.DoubleType(), T.TimestampType()
 
+# The columns of the log files, in their order.
 TRAIN_SCHEMA = _schema(
-    step=_INT, loss=_DOUBLE, smooth_loss=_DOUBLE, lr=_DOUBLE, tokens_seen=_LONG, tokens_per_sec=_DOUBLE,
+    step=_LONG, loss=_DOUBLE, smooth_loss=_DOUBLE, lr=_DOUBLE, tokens_seen=_LONG, tokens_per_sec=_DOUBLE,
     grad_norm=_DOUBLE, elapsed_sec=_DOUBLE, vram_used_gb=_DOUBLE, vram_peak_gb=_DOUBLE, timestamp=_TIME,
 )
 EVAL_SCHEMA = _schema(
-    step=_INT, val_loss=_DOUBLE, val_perplexity=_DOUBLE, best_val_loss=_DOUBLE, tokens_seen=_LONG,
+    step=_LONG, val_loss=_DOUBLE, val_perplexity=_DOUBLE, best_val_loss=_DOUBLE, tokens_seen=_LONG,
     elapsed_sec=_DOUBLE, timestamp=_TIME,
 )
 # one schema for a file that mixes both kinds of row; epoch is an extra some runs log
@@ -50,7 +51,17 @@ def write_metrics(df: DataFrame, path: str) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(JSONL_SCHEMA).option("allowNonNumericNumbers", True).json(path)
+    """JSON lines of a mixed log, with keys beyond the schema in the map ``extra`` and unreadable lines in ``broken``."""
+    schema = T.StructType([*JSONL_SCHEMA.fields, T.StructField("broken", T.StringType())])
+    options = {"allowNonNumericNumbers": "true", "columnNameOfCorruptRecord": "broken"}
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    parsed = lines.select(
+        F.from_json("value", schema, options).alias("row"),
+        F.from_json("value", T.MapType(T.StringType(), T.StringType()), options).alias("all"),
+    )
+    names = [F.lit(n) for n in JSONL_SCHEMA.names]
+    extra = F.map_filter("all", lambda k, v: ~k.isin(*names) & v.isNotNull())
+    return parsed.select("row.*", F.when(F.size(extra) > 0, extra).alias("extra"))
 
 
 def to_jsonl(df: DataFrame) -> DataFrame:
@@ -58,17 +69,21 @@ def to_jsonl(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def split_jsonl(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Training rows and evaluation rows of a mixed log."""
+def split_jsonl(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Training rows, evaluation rows and unreadable lines of a mixed log."""
+    sound = rows.where(F.col("broken").isNull())
     is_eval = F.coalesce(F.col("type") == "eval", F.lit(False))
-    train = [f.name for f in TRAIN_SCHEMA.fields] + ["epoch"]
-    return rows.where(~is_eval).select(*train), rows.where(is_eval).select(*EVAL_SCHEMA.names)
+    train = [f.name for f in TRAIN_SCHEMA.fields] + ["epoch", "extra"]
+    return (
+        sound.where(~is_eval).select(*train), sound.where(is_eval).select(*EVAL_SCHEMA.names, "extra"),
+        rows.where(F.col("broken").isNotNull()).select("broken"),
+    )
 
 
-def sample_log(samples: DataFrame) -> DataFrame:
+def sample_log(samples: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
     """Generated samples (``step, prompt, text, ts``) as they are logged: cut, with a time stamp in words."""
     return samples.select(
-        "step", "prompt", F.substring("text", 1, SAMPLE_CHARS).alias("text"),
+        "step", "prompt", F.substring("text", 1, chars).alias("text"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("logged_at"),
     )
 
@@ -83,8 +98,8 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
 
 
 def write_examples(df: DataFrame, path: str, order: str | None = None) -> None:
-    """Finished samples by split and epoch, in ``order`` within each file."""
+    """Finished samples by split and epoch, in ``order`` within each file; only the parts written are replaced."""
     keys = [c for c in ("split", "epoch") if c in df.columns]
     if order is not None:
         df = df.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order)
-    df.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

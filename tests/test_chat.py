@@ -109,3 +109,10 @@ def test_roles(spark):
     df = spark.createDataFrame([("user",), ("assistant",), ("odd",)], "role string")
     got = chat.map_roles(df, {"user": "prompter"}).select("role", chat.is_trained(F.col("role")).alias("m")).collect()
     assert [(r.role, r.m) for r in got] == [("prompter", 0), ("assistant", 1), ("odd", 1)]
+
+
+def test_context_keeps_turns_without_text(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "prompter", None), (1, 2, "assistant", None), (1, 3, "prompter", "q")]
+    got = chat.chat_context(spark.createDataFrame(rows, "c long, t long, role string, text string"), BYTES, 1000, "c", "t").orderBy("t").collect()
+    first = "s\n<|endofturn|><|user|>\n\n<|assistant|>\n"
+    assert [bytes(r.context).decode() for r in got] == [first, first + "\n<|endofturn|><|user|>\nq\n<|assistant|>\n"]

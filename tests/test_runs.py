@@ -1,4 +1,5 @@
 import math
+import re
 import random
 
 import pytest
@@ -128,16 +129,33 @@ def test_summary(log):
     assert got["hot"].best_perplexity == pytest.approx(math.exp(min(best, 20)))
     assert got["hot"].throughput == pytest.approx(own[-1][4] / own[-1][3])
     text = {r.run: r.report for r in runs.summary_text(summary).collect()}["hot"]
-    assert f"| Min Training Loss | {got['hot'].min_loss:.4f} |" in text and text.count("\n") == 8
+    assert f"| min loss | {got['hot'].min_loss:.4f} |" in text and text.count("\n") == 8
+    evals = evals.withColumn("val_perplexity", numbers.perplexity(F.col("val_loss")))
+    samples = df.select("run", "step", F.lit("p").alias("prompt"), F.lit("t" * 400).alias("text"))
+    full = {r.run: r.report for r in runs.summary_text(summary, evals, samples, last_evals=3).collect()}["hot"]
+    steps = [r[1] for r in own]
+    assert [int(x) for x in re.findall(r"^\| (\d+) \|", full, re.M)] == [s for s in steps if s % 50 == 0][-3:]
+    assert re.findall(r"^step (\d+): p -> (t+)$", full, re.M) == [(str(s), "t" * 300) for s in steps[-5:]]
 
 
 def test_best_point(spark):
     df = spark.createDataFrame([("a", 3, 2.0), ("a", 1, 1.0), ("a", 2, 1.0), ("a", 9, 4.0)], "run string, step long, val_loss double")
     assert tuple(runs.best_point(df).first()) == ("a", 1.0, 1, 4.0)
+    gaps = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None), ("a", 3, 1.0), ("a", 4, None)], "run string, step long, val_loss double")
+    assert tuple(runs.best_point(gaps).first()) == ("a", 1.0, 3, 1.0)
+    nothing = spark.createDataFrame([("a", 1, None)], "run string, step long, val_loss double")
+    assert tuple(runs.best_point(nothing).first()) == ("a", None, None, None)
+
+
+def test_rounding_of_logged_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1, 0.00000250, 1.00005, 2.25, inf, 7), (2, None, 2.5, -2.35, -inf, 8)], "step long, loss double, grad_norm double, elapsed_sec double, best_val_loss double, other int")
+    got = [tuple(r) for r in df.select(*numbers.as_logged(df.columns)).orderBy("step").collect()]
+    assert got == [(1, 0.000002, 1.0, 2.2, inf, 7), (2, None, 2.5, -2.4, -inf, 8)]
 
 
 def test_formulas(spark):
-    seconds = [0.0, 0.5, 1.5, 59.4, 60.0, 61.0, 3599.0, 3600.0, 26820.0, 360061.0]
+    seconds = [0.0, 0.5, 1.5, 59.4, 60.0, 61.0, 75.0, 195.0, 3599.0, 3600.0, 26820.0, 360061.0]
 
     def words(s):
         if s < 60:
