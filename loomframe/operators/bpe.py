@@ -1,32 +1,30 @@
-"""Byte-pair encoding of a corpus with a vocabulary the user supplies.
+"""Byte-pair encoding with a vocabulary the user supplies.
 
-Text is cut into pieces by an expression. One aggregation counts the pieces of the whole corpus and
-every frequent one is merged once; their ids are shipped to all tasks as a table of bounded size.
-Documents are then encoded where they are, with no shuffle: a batch looks up its distinct pieces and
-merges only the rare ones itself.
+Text is cut into pieces by an expression. A batch merges each of its distinct pieces once, and a
+worker remembers the pieces it has met, so documents are encoded where they are, in one pass and
+without a shuffle.
 """
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomframe.session import cut_lineage
+from loomframe.operators.tokens import ArrayCarrier
 
 # Fixed value: the public pre-tokenizer pattern of the byte-pair vocabularies this reads
 PIECE_PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY = 500_000
-# A piece is frequent if it makes up this share of all occurrences, so there are at most 1 / share.
-FREQUENT_SHARE = 1 / 200_000
-FREQUENT_CHARS = 64
+# Pieces a worker remembers before it starts anew
+REMEMBERED = 200_000
 
 
 @dataclass(frozen=True)
@@ -86,34 +84,48 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
 
 
-def frequent_pieces(docs: DataFrame, text: str, vocabulary: Vocabulary) -> dict[str, list[int]]:
-    """Ids of the pieces that make up most of the corpus."""
-    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def merged(piece: pd.Series) -> pd.Series:
-        return piece.map(lambda p: merge(p.encode("utf-8"), shipped.value))
-
-    seen = docs.select(F.explode(pieces(F.col(text))).alias("piece"))
-    counts = cut_lineage(seen.groupBy("piece").agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    often = counts.where((F.col("n") >= total * FREQUENT_SHARE) & (F.char_length("piece") <= FREQUENT_CHARS))
-    return {row.piece: row.ids for row in often.select("piece", merged("piece").alias("ids")).collect()}
-
-
-def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """``key, tokens`` with the end-of-text token last."""
-    sc = docs.sparkSession.sparkContext
-    ranks, known = sc.broadcast(vocabulary.ranks), sc.broadcast(frequent_pieces(docs, text, vocabulary))
+def encoder(spark: SparkSession, vocabulary: Vocabulary) -> Callable[[Column], Column]:
+    """Text column to token column, without a separator; null is empty."""
+    ranks = spark.sparkContext.broadcast(vocabulary.ranks)
+    met_before: dict[str, list[int]] = {}
 
     def ids_of(column: pa.Array) -> pa.Array:
         met = column.flatten().dictionary_encode()
-        ids = [known.value.get(w) or merge(w.encode("utf-8"), ranks.value) for w in met.dictionary.to_pylist()]
+        if len(met_before) > REMEMBERED:
+            met_before.clear()
+        ids = []
+        for piece in met.dictionary.to_pylist():
+            if piece not in met_before:
+                met_before[piece] = merge(piece.encode("utf-8"), ranks.value)
+            ids.append(met_before[piece])
         spelled = pa.array(ids, pa.list_(pa.int32())).take(met.indices)
         return _regroup(column, spelled, spelled.flatten())
 
-    tokens = F.arrow_udf(ids_of, T.ArrayType(T.IntegerType()))(pieces(F.coalesce(text, F.lit(""))))
-    return docs.select(key, F.concat(tokens, F.array(F.lit(vocabulary.end))).alias("tokens"))
+    udf = F.arrow_udf(ids_of, T.ArrayType(T.IntegerType()))
+    return lambda text: udf(pieces(F.coalesce(text, F.lit(""))))
+
+
+@dataclass(frozen=True)
+class MergedCarrier(ArrayCarrier):
+    """Byte-pair tokens wherever a carrier is asked for: segments are encoded one by one and joined."""
+
+    encode: Callable[[Column], Column]
+
+    def from_text(self, text: Column) -> Column:
+        return self.encode(text)
+
+    def text_count(self, text: Column) -> Column:
+        return self.count(self.encode(text))
+
+
+def carrier(spark: SparkSession, vocabulary: Vocabulary) -> MergedCarrier:
+    return MergedCarrier(vocabulary.end, encoder(spark, vocabulary))
+
+
+def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, ending: bool = True) -> DataFrame:
+    """``key, tokens``, with the end-of-text token last unless ``ending`` is false."""
+    tokens = encoder(docs.sparkSession, vocabulary)(F.col(text))
+    return docs.select(key, (F.concat(tokens, F.array(F.lit(vocabulary.end))) if ending else tokens).alias("tokens"))
 
 
 def _regroup(rows: pa.Array, parts: pa.Array, values: pa.Array) -> pa.Array:

@@ -11,6 +11,7 @@ from loomframe.functions.text import SPACE_CLASS, is_blank, strip
 from loomframe.operators.ordering import Running, running
 from loomframe.operators.packing import spans, whole
 from loomframe.operators.tokens import Carrier
+from loomframe.session import cut_lineage
 
 # Role name and turn markers the data format prescribes. The markers are ordinary text.
 PROMPTER = "prompter"
@@ -169,10 +170,8 @@ def chat_context(
         key, order, is_prompt.alias("is_prompt"),
         carrier.from_text(F.when(is_prompt, asked).otherwise(answered)).alias("tokens"),
     ).withColumn("n", carrier.count(F.col("tokens")))
-    placed = running(said, [order], {"start": Running("sum", F.col("n"), current=False)}, [key], rows)
-    pool = spans(placed, carrier, budget, 0, "bucket", (key,)).select(
-        key, "bucket", F.col("chunk")
-    )
+    placed = cut_lineage(running(said, [order], {"start": Running("sum", F.col("n"), current=False)}, [key], rows))
+    pool = cut_lineage(spans(placed, carrier, budget, 0, "bucket", (key,)).select(key, "bucket", "chunk"))
     ends = placed.where("is_prompt").select(key, order, (F.col("start") + F.col("n")).alias("end"))
     ends = ends.withColumn("bucket", whole(F.col("end") - 1, budget))
     used = F.col("end") - F.col("bucket") * budget  # tokens of the last bucket in view

@@ -69,7 +69,7 @@ def rows_per_range(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_RANGE_CONF, str(ROWS_PER_RANGE)))
 
 
-def _key_text(key: str, dtype: T.DataType) -> Column:
+def key_text(key: str, dtype: T.DataType) -> Column:
     """A key as text that Spark itself writes, so no value passes through the driver's types or time zone."""
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(key).cast("string")
@@ -78,7 +78,7 @@ def _key_text(key: str, dtype: T.DataType) -> Column:
     return F.col(key).cast("string")
 
 
-def _literal(text: str | None, dtype: T.DataType) -> str:
+def literal(text: str | None, dtype: T.DataType) -> str:
     if text is None:
         return f"cast(null as {dtype.simpleString()})"
     if isinstance(dtype, T.TimestampType):
@@ -98,7 +98,7 @@ def _cuts(narrow: DataFrame, keys: Sequence[str], total: int, size: int) -> list
     """
     ranges = min(MAX_RANGES, max(2, -(-total // size)))
     fraction = min(1.0, ranges * SAMPLES_PER_RANGE / max(total, 1))
-    texts = [_key_text(k, narrow.schema[k].dataType).alias(f"k{i}") for i, k in enumerate(keys)]
+    texts = [key_text(k, narrow.schema[k].dataType).alias(f"k{i}") for i, k in enumerate(keys)]
     sample = narrow.select(*keys).sample(fraction=fraction, seed=11).orderBy(*keys).select(*texts).collect()
     picked = [tuple(sample[len(sample) * i // ranges]) for i in range(1, ranges)] if sample else []
     return list(dict.fromkeys(picked))
@@ -112,7 +112,7 @@ def _with_range(df: DataFrame, keys: Sequence[str], cuts: list[tuple]) -> DataFr
     bounds = F.expr(
         "array("
         + ", ".join(
-            "named_struct(" + ", ".join(f"'k{i}', {_literal(v, t)}" for i, (v, t) in enumerate(zip(cut, types))) + ")"
+            "named_struct(" + ", ".join(f"'k{i}', {literal(v, t)}" for i, (v, t) in enumerate(zip(cut, types))) + ")"
             for cut in cuts
         )
         + ")"

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.operators.ordering import Running, running
+from loomframe.operators.ordering import Running, key_text, literal, running
 from loomframe.operators.tokens import Carrier
+from loomframe.session import cut_lineage
 
 
 def whole(value: Column, size: int) -> Column:
@@ -22,15 +23,30 @@ def token_offsets(
     return running(lengths, [order], {"start": Running("sum", F.col("n"), current=False)}, group, rows)
 
 
+def within(offsets: DataFrame, docs: DataFrame, order: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Offsets before token ``limit``, and the documents up to the last of these.
+
+    The last key enters the plan as a literal, so the scan of the texts stops there.
+    """
+    used = cut_lineage(offsets.where((F.col("start") < limit) & (F.col("n") > 0)))
+    kind = docs.schema[order].dataType
+    last = used.agg(F.max(order).alias(order)).select(key_text(order, kind)).first()[0]
+    return used, docs.where(F.col(order) <= F.expr(literal(last, kind)))
+
+
 def place(
-    docs: DataFrame, order: str, tokens: Column, count: Column, group: tuple[str, ...] = (), rows: int | None = None
+    docs: DataFrame, order: str, tokens: Column, count: Column, group: tuple[str, ...] = (), rows: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Documents with their place in the stream.
 
     Offsets are worked out on the narrow table and joined back, so only lengths are sorted. Whether
-    they are small enough to be broadcast is for Spark to say.
+    they are small enough to be broadcast is for Spark to say. With ``limit``, only documents that
+    begin before that many tokens are read.
     """
     offsets = token_offsets(docs, order, count, group, rows)
+    if limit is not None and not group:
+        offsets, docs = within(offsets, docs, order, limit)
     return docs.select(*group, order, tokens.alias("tokens")).join(offsets, [*group, order])
 
 
@@ -93,8 +109,9 @@ def pack_blocks(
     rows: int | None = None,
 ) -> DataFrame:
     """Token sequences (separator included) to ``block_id, x, y``."""
-    placed = place(docs, order, tokens, count, group, rows)
-    return shift(cut_blocks(placed, carrier, block, block_budget(block, max_tokens), group), carrier, block)
+    blocks = block_budget(block, max_tokens)
+    placed = place(docs, order, tokens, count, group, rows, blocks * block + 1 if blocks is not None else None)
+    return shift(cut_blocks(placed, carrier, block, blocks, group), carrier, block)
 
 
 def pack_text(
@@ -113,10 +130,7 @@ def prefix_blocks(
     rows: int | None = None,
 ) -> DataFrame:
     """Blocks of the first ``num_tokens`` tokens, the stream being cut exactly there."""
-    offsets = (
-        token_offsets(docs, order, count, rows=rows)
-        .where((F.col("start") < num_tokens) & (F.col("n") > 0))
-        .withColumn("n", F.least(F.col("n"), F.lit(num_tokens) - F.col("start")))
-    )
+    offsets, docs = within(token_offsets(docs, order, count, rows=rows), docs, order, num_tokens)
+    offsets = offsets.withColumn("n", F.least(F.col("n"), F.lit(num_tokens) - F.col("start")))
     placed = docs.select(order, tokens.alias("tokens")).join(offsets, order)
     return shift(cut_blocks(placed, carrier, block), carrier, block)

@@ -9,6 +9,7 @@ from loomframe.functions.numbers import INFINITY
 from loomframe.operators.chat import IGNORED
 from loomframe.operators.joins import lookup
 from loomframe.operators.ordering import Running, running
+from loomframe.session import cut_lineage
 
 
 def masked_loss(scored: DataFrame, batch_size: int, max_batches: int | None = None) -> DataFrame:
@@ -61,8 +62,8 @@ def nucleus(logits: DataFrame, p: float, ctx: str = "ctx_id", item: str = "token
     An item stays while the mass before it is at most ``p``, so the one that crosses the line stays.
     """
     peaks = logits.groupBy(F.col(ctx).alias("__c")).agg(F.max(score).alias("__peak"))
-    weighted = lookup(logits, peaks, ctx, "__c", rows=rows).drop("__c").withColumn(
-        "__w", F.exp(F.col(score) - F.col("__peak"))
+    weighted = cut_lineage(
+        lookup(logits, peaks, ctx, "__c", rows=rows).drop("__c").withColumn("__w", F.exp(F.col(score) - F.col("__peak")))
     )
     masses = weighted.groupBy(F.col(ctx).alias("__c")).agg(F.sum("__w").alias("__mass"))
     ranked = running(

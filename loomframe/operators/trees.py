@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.joins import lookup
+from loomframe.operators.ordering import row_index
 from loomframe.session import cut_lineage
 
 
@@ -54,21 +55,26 @@ def rooted(messages: DataFrame, lang: str | None = None) -> DataFrame:
         F.col("parent_id").isNull().alias("done"),
         F.when(F.col("parent_id").isNull(), _wanted_root(messages, lang)).alias("wanted"),
     )
-    state = cut_lineage(start)
-    total = state.count()
-    reach = 1
-    while reach <= total and not state.where(~F.col("done")).isEmpty():
-        above = state.select(
+    start = cut_lineage(start)
+    total = start.count()
+    finished, open_rows = [start.where("done")], start.where(~F.col("done"))
+    while not open_rows.isEmpty():
+        above = reduce(DataFrame.unionByName, [*finished, open_rows]).select(
             F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("depth").alias("a_depth"),
             F.col("done").alias("a_done"), F.col("wanted").alias("a_wanted"),
         )
-        climbed = lookup(state.where(~F.col("done")), above, "up", "a_id", rows=total).select(
-            "id", "parent", F.col("a_up").alias("up"), (F.col("depth") + F.col("a_depth")).alias("depth"),
-            F.col("a_done").alias("done"), F.col("a_wanted").alias("wanted"),
+        climbed = cut_lineage(
+            lookup(open_rows, above, "up", "a_id", rows=total).select(
+                "id", "parent", F.col("a_up").alias("up"), (F.col("depth") + F.col("a_depth")).alias("depth"),
+                F.col("a_done").alias("done"), F.col("a_wanted").alias("wanted"),
+            )
         )
-        state = cut_lineage(state.where("done").unionByName(climbed))
-        reach *= 2
-    return state.where("done").select("id", "parent", "depth", "wanted")
+        arrived = climbed.where("done")
+        if arrived.isEmpty():  # depths have no gaps, so what is left runs in circles
+            break
+        finished.append(arrived)
+        open_rows = climbed.where(~F.col("done"))
+    return reduce(DataFrame.unionByName, finished).select("id", "parent", "depth", "wanted")
 
 
 def unreachable(messages: DataFrame) -> DataFrame:
@@ -143,12 +149,25 @@ def first_child_path_rows(messages: DataFrame, min_turns: int = 2) -> DataFrame:
     return rows.join(long_enough.select("path"), "path", "left_semi")
 
 
-def collect_paths(rows: DataFrame) -> DataFrame:
-    """One row per path with its ids in order. The array is the path itself and no larger."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "id")))
-    return rows.groupBy("path").agg(F.transform(ordered, lambda e: e["id"]).alias("ids")).withColumn(
-        "n_turns", F.size("ids").cast("long")
+def collect_paths(rows: DataFrame, messages: DataFrame | None = None) -> DataFrame:
+    """One row per path with its ids in order. The array is the path itself and no larger.
+
+    With ``messages`` also ``path_ord``, the place of the path in a depth-first walk: paths in the
+    order of their messages' ``ord``, compared from the root on.
+    """
+    if messages is not None:
+        ords = messages.select(F.col("message_id").alias("__m"), F.col("ord").cast("long").alias("ord"))
+        rows = lookup(rows, ords, "id", "__m").drop("__m")
+    ordered = F.array_sort(F.collect_list(F.struct(*["pos", "id", *(["ord"] if messages is not None else [])])))
+    paths = rows.groupBy("path").agg(ordered.alias("__steps")).select(
+        "path", F.transform("__steps", lambda e: e["id"]).alias("ids"), F.size("__steps").cast("long").alias("n_turns"), "__steps"
     )
+    if messages is None:
+        return paths.drop("__steps")
+    # as text of equal width: flipping the sign bit puts negative numbers first
+    spelled = F.transform("__steps", lambda e: F.lpad(F.hex(e["ord"].bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    keyed = cut_lineage(paths.select("*", F.array_join(spelled, "").alias("__walk")).drop("__steps"))
+    return row_index(keyed, ["__walk", "path"], "path_ord").drop("__walk")
 
 
 def path_turns(rows: DataFrame, messages: DataFrame) -> DataFrame:

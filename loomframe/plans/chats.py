@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomframe.functions.text import strip
-from loomframe.operators import chat, scored, trees
+from loomframe.operators import bpe, chat, scored, trees
 from loomframe.operators.tokens import BYTES, decode_bytes
 from loomframe.plans.registry import query
 from loomframe.plans.tables import (
     BLOCK, INSTRUCTIONS_SQL, MESSAGES_SQL, SQL_SPACE, TURNS_SQL, instructions, load, messages, turns,
 )
-from loomframe.plans.text import total, weighted_total
+from loomframe.plans.text import SAMPLE_MERGES, merged_sql, total, weighted_total
 from loomframe.session import work_path
 from loomframe.sources import corpus
 
@@ -61,12 +61,15 @@ def instruction_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.instruction_turns(instructions(spark, sf_dir), "pair_id").select("pair_id", "pos", "role", digest("text"))
 
 
-@query("chat_render", f"""
-WITH {TURNS_SQL}, segs AS (
+_SEGMENTS = f"""segs AS (
   SELECT conv_id, turn, unnest(CASE WHEN role = 'prompter'
     THEN [{{'text': '{_USER}', 'mask': 0, 'seg': 0}}, {{'text': chr(10) || text || chr(10), 'mask': 0, 'seg': 1}}]
     ELSE [{{'text': '{_ASSISTANT}', 'mask': 0, 'seg': 0}}, {{'text': chr(10), 'mask': 0, 'seg': 1}}, {{'text': text, 'mask': 1, 'seg': 2}},
-          {{'text': chr(10), 'mask': 1, 'seg': 3}}, {{'text': '{_END}', 'mask': 1, 'seg': 4}}] END) AS s FROM turns)
+          {{'text': chr(10), 'mask': 1, 'seg': 3}}, {{'text': '{_END}', 'mask': 1, 'seg': 4}}] END) AS s FROM turns)"""
+
+
+@query("chat_render", f"""
+WITH {TURNS_SQL}, {_SEGMENTS}
 SELECT conv_id, turn, s.seg::BIGINT AS seg, s.mask::INTEGER AS mask, md5(s.text) AS digest FROM segs""")
 def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn as its segments; a conversation is its turns in order and is never one row."""
@@ -102,24 +105,33 @@ placed AS (
          CASE WHEN role = 'prompter' THEN n ELSE {len(_ASSISTANT) + 1} END AS lead FROM said)"""
 
 
+def example_sums(end: int) -> str:
+    """Sums that pin down inputs and labels, from a CTE ``toks`` (conv_id, pos, tok, trained) of the first tokens."""
+    return f"""sums AS (
+  SELECT conv_id, count(*) AS len,
+    sum(CASE WHEN pos < {BLOCK} THEN tok ELSE 0 END) AS xs, sum(CASE WHEN pos < {BLOCK} THEN tok * pos ELSE 0 END) AS xd,
+    sum(CASE WHEN trained AND pos > 0 THEN 1 ELSE 0 END) AS ln, sum(CASE WHEN trained AND pos > 0 THEN tok ELSE 0 END) AS ls,
+    sum(CASE WHEN trained AND pos > 0 THEN tok * (pos - 1) ELSE 0 END) AS ld FROM toks GROUP BY conv_id)
+SELECT conv_id, {BLOCK}::BIGINT AS n_inputs,
+  (xs + {end} * greatest({BLOCK} - len, 0))::BIGINT AS input_sum,
+  (xd + CASE WHEN len < {BLOCK} THEN {end} * (({BLOCK} - 1) * {BLOCK} / 2 - (len - 1) * len / 2) ELSE 0 END)::BIGINT AS input_dot,
+  ln::BIGINT AS n_labels, ls::BIGINT AS label_sum, ld::BIGINT AS label_dot FROM sums"""
+
+
 @query("sft_examples", f"""
 WITH {_PLACED}, toks AS (
   SELECT conv_id, start + i AS pos, tok, i >= lead AS trained FROM (
     SELECT conv_id, start, lead, unnest(range(n)) AS i,
            unnest(list_transform(regexp_extract_all(hex(raw), '..'), lambda h: ('0x' || h)::INTEGER)) AS tok FROM placed)
   WHERE start + i <= {BLOCK}),
-sums AS (
-  SELECT conv_id, count(*) AS len,
-    sum(CASE WHEN pos < {BLOCK} THEN tok ELSE 0 END) AS xs, sum(CASE WHEN pos < {BLOCK} THEN tok * pos ELSE 0 END) AS xd,
-    sum(CASE WHEN trained AND pos > 0 THEN 1 ELSE 0 END) AS ln, sum(CASE WHEN trained AND pos > 0 THEN tok ELSE 0 END) AS ls,
-    sum(CASE WHEN trained AND pos > 0 THEN tok * (pos - 1) ELSE 0 END) AS ld FROM toks GROUP BY conv_id)
-SELECT conv_id, {BLOCK}::BIGINT AS n_inputs,
-  (xs + 256 * greatest({BLOCK} - len, 0))::BIGINT AS input_sum,
-  (xd + CASE WHEN len < {BLOCK} THEN 256 * (({BLOCK} - 1) * {BLOCK} / 2 - (len - 1) * len / 2) ELSE 0 END)::BIGINT AS input_dot,
-  ln::BIGINT AS n_labels, ls::BIGINT AS label_sum, ld::BIGINT AS label_dot FROM sums""")
+{example_sums(256)}""")
 def sft_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return examples_of(spark, sf_dir, BYTES)
+
+
+def examples_of(spark: SparkSession, sf_dir: str, carrier) -> DataFrame:
     chats = turns(spark, sf_dir)
-    examples = chat.sft_examples(chats, BYTES, BLOCK, "conv_id", "turn", rows=chats.count())
+    examples = chat.sft_examples(chats, carrier, BLOCK, "conv_id", "turn", rows=chats.count())
     labels = F.transform("labels", lambda v: F.when(v == chat.IGNORED, 0).otherwise(v))
     return examples.select(
         "conv_id", F.size("input_ids").cast("long").alias("n_inputs"), total(F.col("input_ids")).alias("input_sum"),
@@ -129,6 +141,19 @@ def sft_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("sft_merged", f"""
+WITH {TURNS_SQL}, {_SEGMENTS},
+texts AS (SELECT conv_id, turn, s.seg AS seg, s.mask AS mask, s.text AS text FROM segs),
+{merged_sql("texts", "conv_id, turn, seg, mask")},
+toks AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, seg, piece, place) - 1 AS pos, tok, mask = 1 AS trained
+  FROM merged QUALIFY pos <= {BLOCK}),
+{example_sums(256 + len(SAMPLE_MERGES))}""")
+def sft_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat examples in byte-pair tokens, each segment encoded on its own."""
+    return examples_of(spark, sf_dir, bpe.carrier(spark, bpe.Vocabulary.from_merges(SAMPLE_MERGES)))
+
+
 @query("label_coverage", f"""
 WITH {_PLACED}, firsts AS (SELECT DISTINCT conv_id FROM placed),
 kept AS (SELECT greatest(least(start + n, {BLOCK + 1}) - greatest(start + lead, 1), 0) AS labels FROM placed JOIN firsts USING (conv_id))
@@ -170,12 +195,12 @@ def walk_sql(replies: str, roots: str = "") -> str:
 
 
 @query("tree_paths", walk_sql("messages", "AND lang = 'en'") + """
-SELECT id AS leaf_id, n_turns, path FROM walk w
+SELECT id AS leaf_id, n_turns, path, row_number() OVER (ORDER BY string_split(path, ',')::BIGINT[]) - 1 AS path_ord FROM walk w
 WHERE n_turns >= 2 AND NOT EXISTS (SELECT 1 FROM messages c WHERE c.parent_id = w.id)""")
 def tree_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = trees.tree_path_rows(trees.dedup_last(messages(spark, sf_dir)), lang="en")
-    return trees.collect_paths(rows).select(
-        F.col("path").alias("leaf_id"), "n_turns", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("path")
+    forest = trees.dedup_last(messages(spark, sf_dir))
+    return trees.collect_paths(trees.tree_path_rows(forest, lang="en"), forest).select(
+        F.col("path").alias("leaf_id"), "n_turns", "path_ord", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("path")
     )
 
 

@@ -26,12 +26,16 @@ def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_encode", f"""
 WITH {TOKENS_SQL}
-SELECT doc_id, count(*)::BIGINT AS n_tokens, sum(tok)::BIGINT AS token_sum FROM tokens GROUP BY doc_id""")
+SELECT t.doc_id, count(*)::BIGINT AS n_tokens, sum(tok)::BIGINT AS token_sum, sum(tok * (loc - start))::BIGINT AS token_dot
+FROM tokens t JOIN offsets o ON o.doc_id = t.doc_id GROUP BY t.doc_id""")
 def stream_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "stream-encode")
     run_to_files(encode_stream(document_stream(spark, sf_dir), "doc_id", "text"), path)
     done = spark.read.schema("doc_id long, tokens array<int>").parquet(f"{path}/rows")
-    return done.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), total(F.col("tokens")).alias("token_sum"))
+    return done.select(
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens"), total(F.col("tokens")).alias("token_sum"),
+        weighted_total(F.col("tokens")).alias("token_dot"),
+    )
 
 
 def sharded_sql(block: int, limit: str = "") -> str:
@@ -55,6 +59,10 @@ def packed_stream(spark: SparkSession, sf_dir: str, block: int, max_tokens: int
     docs = drop_blank(document_stream(spark, sf_dir), "text")
     tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
     run_to_files(pack_stream(docs, "doc_id", tokens, BYTES, F.col("doc_id") % SHARDS, block, max_tokens), path)
+    return block_sums(spark, path, block)
+
+
+def block_sums(spark: SparkSession, path: str, block: int) -> DataFrame:
     chunks = spark.read.schema("shard long, block_id long, chunk binary").parquet(f"{path}/rows")
     return shift(chunks, BYTES, block).select(
         "shard", "block_id", F.get("x", F.lit(0)).alias("x_first"), F.element_at("y", -1).alias("y_last"),
@@ -67,6 +75,19 @@ def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_stream(spark, sf_dir, BLOCK, None)
 
 
+@query("stream_resume", sharded_sql(BLOCK))
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents are packed, the stream stops, the other half arrives, and it goes on."""
+    path, docs = work_path(spark, "stream-resume"), load(spark, sf_dir, "documents")
+    half = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
+    for part in (F.col("doc_id") <= half, F.col("doc_id") > half):
+        docs.where(part).write.mode("append").parquet(f"{path}/in")
+        arrived = drop_blank(read_corpus(spark, f"{path}/in", streaming_schema=docs.schema), "text")
+        run_to_files(pack_stream(arrived, "doc_id", tokens, BYTES, F.col("doc_id") % SHARDS, BLOCK), path)
+    return block_sums(spark, path, BLOCK)
+
+
 @query("stream_budget", sharded_sql(256, "AND b < 40"))
 def stream_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packing that stops at a token budget per shard."""

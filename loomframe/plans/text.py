@@ -16,7 +16,7 @@ from loomframe.sources import artifacts, corpus, logs
 # Merged tokens of the sample vocabulary: frequent pairs of the test corpus
 SAMPLE_MERGES = [
     b"th", b"er", b"in", b"on", b"an", b"re", b"nd", b"es", b"en", b"ed", b"ou", b"ea", b" t", b" a", b" o",
-    b"the", b"and", b"ing", b" th", b" the", b" an", b" and", b" of", b" in", b"tion", b"ti", "é".encode(),
+    b"ti", b"the", b"and", b"ing", b" th", b" the", b" an", b" and", b" of", b" in", b"tion", "é".encode(),
 ]
 
 
@@ -145,8 +145,43 @@ def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("encode_merged", "SELECT doc_id, md5(text) AS digest FROM documents")
+def merged_sql(texts: str, keys: str) -> str:
+    """CTE ``merged`` (keys, piece, place, tok) of the byte-pair tokens of the texts in a CTE.
+
+    Tokens are spelled ``<6874><65>``. Every merge of the sample gives only pairs that merge later, so
+    replacing them in order is the merge order; a token that two pairs can give is replaced for both.
+    """
+    tokens = {bytes([b]): b for b in range(256)} | {m: 256 + i for i, m in enumerate(SAMPLE_MERGES)}
+    chain = r"regexp_replace(hex(encode(piece)), '(..)', '<\1>', 'g')"
+    for merged in SAMPLE_MERGES:
+        for at in range(1, len(merged)):
+            left, right = merged[:at], merged[at:]
+            if left in tokens and right in tokens:
+                chain = f"replace({chain}, '<{left.hex().upper()}><{right.hex().upper()}>', '<{merged.hex().upper()}>')"
+    ids = ", ".join(f"'{t.hex().upper()}': {i}" for t, i in tokens.items() if len(t) > 1)
+    return f"""cut AS (SELECT {keys}, regexp_extract_all({_MARKED}, {_PIECES}) AS p FROM {texts}),
+parts AS (SELECT {keys}, unnest(p) AS piece, unnest(range(len(p))) AS i FROM cut),
+spelled AS (SELECT {keys}, i, regexp_extract_all({chain}, '[0-9A-F]+') AS h FROM parts),
+hexed AS (SELECT {keys}, i, unnest(h) AS h, unnest(range(len(h))) AS j FROM spelled),
+merged AS (SELECT {keys}, i AS piece, j AS place,
+  CASE WHEN length(h) = 2 THEN ('0x' || h)::INTEGER ELSE MAP {{{ids}}}[h] END AS tok FROM hexed)"""
+
+
+_END = 256 + len(SAMPLE_MERGES)
+
+
+@query("encode_merged", f"""
+WITH {merged_sql("documents", "doc_id")}
+SELECT doc_id, count(*) + 1 AS n_tokens, md5(string_agg(tok, ',' ORDER BY piece, place) || ',{_END}') AS digest FROM merged GROUP BY doc_id""")
 def encode_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair ids of every document."""
+    encoded = bpe.encode(spread_documents(spark, sf_dir), "doc_id", "text", bpe.Vocabulary.from_merges(SAMPLE_MERGES))
+    joined = F.array_join(F.col("tokens").cast("array<string>"), ",")
+    return encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(joined.cast("binary")).alias("digest"))
+
+
+@query("decode_merged", "SELECT doc_id, md5(text) AS digest FROM documents")
+def decode_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-pair tokens of every document read back as text."""
     vocabulary = bpe.Vocabulary.from_merges(SAMPLE_MERGES)
     docs = spread_documents(spark, sf_dir)
@@ -154,7 +189,10 @@ def encode_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
-@query("pack_merged")
+@query("pack_merged", f"""
+WITH {merged_sql("documents", "doc_id")}, ended AS (
+  SELECT * FROM merged UNION ALL SELECT doc_id, (1::BIGINT << 40), 0, {_END} FROM (SELECT DISTINCT doc_id FROM merged)),
+tokens AS (SELECT row_number() OVER (ORDER BY doc_id, piece, place) - 1 AS loc, tok FROM ended)""" + blocks_sql("tokens", BLOCK))
 def pack_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.from_merges(SAMPLE_MERGES)
     docs = spread_documents(spark, sf_dir)

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
-    """A parquet table as a stream of its files.
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet table as a stream of its files, all there are per micro-batch or ``files_per_trigger``.
 
     A stream refuses the plain path of a table that is a single file, so the path is given as a
     pattern that matches only itself; it works for a folder of files just the same.
     """
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    return source.parquet(f"{path[:-1]}[{path[-1]}]")
+    source = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        source = source.option("maxFilesPerTrigger", files_per_trigger)
+    plain = re.sub(r"([\\*?\[\]{}])", r"\\\1", path.rstrip("/"))
+    return source.parquet(plain if "\\" in plain else f"{plain[:-1]}[{plain[-1]}]")
 
 
 def read_corpus(spark: SparkSession, path: str, text: str = "text", order: str = "doc_id", keep: tuple[str, ...] = (),

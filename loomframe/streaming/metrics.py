@@ -60,6 +60,12 @@ class LiveMetrics:
         tail.join(lowest, tail["run"] == lowest["__run"]).select(*columns, "best").write.mode("overwrite").parquet(
             f"{self.path}/state/{batch_id}"
         )
+        self._forget(spark, batch_id - 2)
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Delete a state that no repeated batch can ask for any more."""
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/state/{batch_id}")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
     def run(self, stream: DataFrame) -> None:
         """Process everything that is there and stop; a second call resumes."""

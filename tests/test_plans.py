@@ -39,6 +39,13 @@ def test_no_python_where_sql_functions_do(spark, name):
     assert "Python" not in plan_of(entry.queries()[name](spark, SF_DIR))
 
 
+def test_texts_are_read_once_and_prefixes_stop_the_scan(spark):
+    plan = plan_of(entry.queries()["pack_blocks"](spark, SF_DIR))
+    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 1  # lengths come from a written table
+    plan = plan_of(entry.queries()["prefix_eval"](spark, SF_DIR))
+    assert "LessThanOrEqual(doc_id," in plan
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry.queries()["holdout_split"](spark, SF_DIR))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan

@@ -87,3 +87,17 @@ def test_path_turns_carry_texts(spark):
 def test_leaves(spark):
     df = forest(spark, [(0, "r", None, "en"), (1, "a", "r", "en"), (2, "b", "a", "en"), (3, "c", "r", "en")])
     assert {r.message_id for r in trees.leaves(df).select(F.col("message_id")).collect()} == {"b", "c"}
+
+
+def test_paths_are_numbered_depth_first(spark):
+    rows = [(o, f"m{o}", None if p is None else f"m{p}") for o, p in [(5, None), (9, 5), (7, 5), (8, 7), (-3, 7), (1, None), (2, 1)]]
+    forest = spark.createDataFrame(rows, "ord long, message_id string, parent_id string")
+    paths = trees.collect_paths(trees.tree_path_rows(forest), forest).orderBy("path_ord").collect()
+    assert [(r.path_ord, r.ids) for r in paths] == [(0, ["m1", "m2"]), (1, ["m5", "m7", "m-3"]), (2, ["m5", "m7", "m8"]), (3, ["m5", "m9"])]
+
+
+def test_circles_end_the_climb(spark):
+    rows = [(i, i, (i + 1) % 600) for i in range(600)] + [(1000, 1000, None), (1001, 1001, 1000), (1002, 1002, 77777)]
+    forest = spark.createDataFrame(rows, "ord long, message_id long, parent_id long")
+    assert sorted(r.id for r in trees.rooted(forest).collect()) == [1000, 1001]
+    assert trees.unreachable(forest).count() == 601
