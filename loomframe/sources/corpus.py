@@ -18,8 +18,10 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     source = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         source = source.option("maxFilesPerTrigger", files_per_trigger)
-    plain = re.sub(r"([\\*?\[\]{}])", r"\\\1", path.rstrip("/"))
-    return source.parquet(plain if "\\" in plain else f"{plain[:-1]}[{plain[-1]}]")
+    path = path.rstrip("/")
+    if re.search(r"[\\*?\[\]{}]", path):
+        raise ValueError(f"{path}: a stream would take this name for a pattern")
+    return source.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def read_corpus(spark: SparkSession, path: str, text: str = "text", order: str = "doc_id", keep: tuple[str, ...] = (),
