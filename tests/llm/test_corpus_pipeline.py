@@ -52,3 +52,27 @@ def test_run_is_the_stages(spark, stages):
         return sorted(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in df.collect())
 
     assert key(cp.run(spark, SF_DIR)) == key(stages[5])
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_take_nulls_copies_and_empty_tables(spark):
+    words = " ".join(f"w{i}" for i in range(90))
+    rows = [
+        (1, words, "en", "s", 1), (1, words, "en", "s", 1), (2, words, None, None, None), (None, words + " more", None, "s", 2), (3, None, "en", "s", None),
+        (4, "", None, None, 0), (5, " ".join(f"v{i}" for i in range(30_000)), "de", "s", 9),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for _, stage in cp.STAGES[:-1]:
+        for table in (docs, docs.limit(0)):
+            got = stage(spark, table, SF_DIR)
+            assert got.columns == docs.columns
+            kept = {(r["doc_id"], r["source"]) for r in got.collect()}
+            assert kept <= {(r[0], r[3]) for r in rows}
+    assert {r["doc_id"] for r in cp.distinct_documents(spark, docs, SF_DIR).collect()} == {1, None, 3, 4, 5}
+    assert {r["doc_id"] for r in cp.quality(spark, docs, SF_DIR).collect()} == {1, 2, None, 5}
+    assert {r["doc_id"] for r in cp.packed(spark, docs, SF_DIR).collect()} == {1, 2, None, 3, 4, 5}
+    assert cp.packed(spark, docs.limit(0), SF_DIR).collect() == []
+    removed = {(r["doc_id"], r["text"]) for r in cp.distinct_passages(spark, docs, SF_DIR).collect()}
+    assert removed == {(1, words), (2, ""), (None, words + " more"), (3, None), (4, ""), (5, rows[-1][1])}
