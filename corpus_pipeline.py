@@ -29,7 +29,7 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
+    gone = cut_lineage(minhash.near_duplicates(docs).where("not kept").select("doc_id"))
     return docs.join(gone, "doc_id", "left_anti")
 
 

@@ -164,7 +164,7 @@ def fit(stats: DataFrame, groups: list[str]) -> DataFrame:
     # a row takes part under its own key, its language and all
     homes = F.array(F.col("__fine"), F.col("__wide"), F.lit("all"))
     sizes = counts.select(F.explode(F.array_distinct(homes)).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
-    large = sizes.where((F.col("n") >= LEAST_ROWS) | (F.col("g") == "all")).select("g")
+    large = cut_lineage(sizes.where((F.col("n") >= LEAST_ROWS) | (F.col("g") == "all")).select("g"))
     members = rows.withColumn("g", F.explode(F.array_distinct(homes))).join(large, "g", "left_semi").select("g", *_X)
 
     cells = members.select("g", F.posexplode(F.array(*[F.floor(F.col(x) * 100).cast("int") for x in _X])).alias("x", "bin"))
@@ -217,7 +217,8 @@ def judge(df: DataFrame, estimates: DataFrame, groups: list[str]) -> DataFrame:
     for name, key in (("__has_fine", "__fine"), ("__has_wide", "__wide")):
         keys = keys.join(known.select(F.col("g").alias(key), F.col("__known").alias(name)), key, "left")
     used = F.when(F.col("__has_fine"), F.col("__fine")).when(F.col("__has_wide"), F.col("__wide")).otherwise("all")
-    own = keys.select("__fine", used.alias("g")).join(estimates, "g", "left").drop("g")
+    # written, so that Spark knows its size and leaves the rows where they are as long as it is small
+    own = cut_lineage(keys.select("__fine", used.alias("g")).join(estimates, "g", "left").drop("g"))
     found = rows.join(own, "__fine", "left")
     distance = F.when(~base_failed(), _distance(found) / F.col("cut"))
     return found.select(
