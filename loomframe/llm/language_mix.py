@@ -151,28 +151,30 @@ def mixtures(logs: np.ndarray, counts: np.ndarray, starts: np.ndarray, rounds: i
     """
     docs, languages = len(starts), logs.shape[1]
     doc_of = np.repeat(np.arange(docs), np.diff([*starts, len(logs)]))
-    top = logs.max(1, keepdims=True)
+    logs = np.ascontiguousarray(logs.T)  # a row per language: sums over languages add whole rows
+    top = logs.max(0)
     likely = np.exp(logs - top)
     total = np.add.reduceat(counts, starts)
+    penalty = 0.5 * np.log(np.maximum(total, 2))
 
-    def fit(member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        share = member / member.sum(1, keepdims=True)
+    def fit(member: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        share = member / member.sum(0)
         for _ in range(rounds):
-            joint = likely * share[doc_of]
-            joint *= (counts / np.maximum(joint.sum(1), 1e-300))[:, None]
-            share = np.add.reduceat(joint, starts) / total[:, None]
-        fitted = np.add.reduceat(counts * (np.log(np.maximum((likely * share[doc_of]).sum(1), 1e-300)) + top[:, 0]), starts)
-        return share, fitted
-
-    best, score = fit(np.ones((docs, languages)))
-    score = score - 0.5 * (languages - 1) * np.log(np.maximum(total, 2))
-    rank = np.argsort(np.argsort(-best, axis=1, kind="stable"), axis=1)
+            joint = likely * share[:, doc_of]
+            joint *= counts / np.maximum(joint.sum(0), 1e-300)
+            share = np.add.reduceat(joint, starts, axis=1) / total
+        mixed = (likely * share[:, doc_of]).sum(0)
+        return share, np.add.reduceat(counts * (np.log(np.maximum(mixed, 1e-300)) + top), starts)
+
+    best, score = fit(np.ones((languages, docs)), rounds)
+    score = score - (languages - 1) * penalty
+    rank = np.argsort(np.argsort(-best, axis=0, kind="stable"), axis=0)
     for size in range(1, languages):
-        share, fitted = fit((rank < size).astype(float))
-        fitted = fitted - 0.5 * (size - 1) * np.log(np.maximum(total, 2))
+        share, fitted = fit((rank < size).astype(float), rounds if size > 1 else 0)  # one language has all
+        fitted = fitted - (size - 1) * penalty
         better = fitted >= score
-        best, score = np.where(better[:, None], share, best), np.where(better, fitted, score)
-    return best
+        best, score = np.where(better, share, best), np.where(better, fitted, score)
+    return best.T
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
