@@ -190,7 +190,7 @@ def fit(stats: DataFrame, groups: list[str]) -> DataFrame:
         return cut_lineage(measured(estimate).groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n")))
 
     for _ in range(STEPS):
-        core = _at_share(histogram(estimate), CORE, ["g"])
+        core = cut_lineage(_at_share(histogram(estimate), CORE, ["g"]))
         chosen = measured(estimate).join(core, "g").where(F.col("bin") <= F.col("at"))
         sums = [F.sum(F.col(_X[i])).alias(f"__s{i}") for i in size]
         products = [F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"__s{i}_{j}") for i in size for j in range(i + 1)]
