@@ -197,18 +197,20 @@ def _table(columns: Sequence[str], rows: Column) -> Column:
 
 
 def summary_text(summary: DataFrame, evals: DataFrame | None = None, samples: DataFrame | None = None,
-                 last_evals: int = 50, last_samples: int = 5, sample_chars: int = 300) -> DataFrame:
-    """``run, report``: the summary as Markdown, with the last evaluations and the last samples of each run.
+                 last_evals: int | None = None, last_samples: int = 5, sample_chars: int = 300) -> DataFrame:
+    """``run, report``: the summary as Markdown, with the evaluations and the last samples of each run.
 
-    Labels are the column names. A report shows at most ``last_evals`` evaluations and
-    ``last_samples`` samples (``run, step, prompt, text``), newest last; row numbers are limited
-    before the shuffle, so a long run sends no more than that.
+    Labels are the column names. A report shows all evaluations, or the last ``last_evals``, and at
+    most ``last_samples`` samples (``run, step, prompt, text``), newest last; row numbers are limited
+    before the shuffle. A report is one string: :func:`report_lines` has a run of any length as rows.
     """
     lines = [F.format_string("| %s | %s |", F.lit(n.replace("_", " ")), F.coalesce(_shown(n, d), F.lit("-"))) for n, d in _FIGURES.items()]
     report = summary.select(RUN, _table(["metric", "value"], F.concat_ws("\n", *lines)).alias("report"))
 
-    def latest(df: DataFrame, n: int, line: Column) -> DataFrame:
-        newest = df.withColumn("__rn", F.row_number().over(Window.partitionBy(RUN).orderBy(F.col(STEP).desc()))).where(F.col("__rn") <= n)
+    def latest(df: DataFrame, n: int | None, line: Column) -> DataFrame:
+        newest = df
+        if n is not None:
+            newest = df.withColumn("__rn", F.row_number().over(Window.partitionBy(RUN).orderBy(F.col(STEP).desc()))).where(F.col("__rn") <= n)
         in_order = F.array_sort(F.collect_list(F.struct(F.col(STEP).alias("step"), line.alias("line"))))
         return newest.groupBy(RUN).agg(F.concat_ws("\n", F.transform(in_order, lambda x: x["line"])).alias("__lines"))
 
@@ -221,3 +223,34 @@ def summary_text(summary: DataFrame, evals: DataFrame | None = None, samples: Da
         told = latest(samples, last_samples, line).select(RUN, F.col("__lines").alias("__samples"))
         report = report.join(told, RUN, "left").select(RUN, F.concat_ws("\n\n", "report", "__samples").alias("report"))
     return report
+
+
+def report_lines(summary: DataFrame, evals: DataFrame, samples: DataFrame | None = None, last_samples: int = 5,
+                 sample_chars: int = 300, rows: int | None = None) -> DataFrame:
+    """``run, position, line``: the report of :func:`summary_text` as ordered rows, with all evaluations.
+
+    ``rows`` is an upper bound on the number of evaluations where the caller knows one.
+    """
+    short = summary_text(summary).select(RUN, F.posexplode(F.split("report", "\n")).alias("position", "line"))
+    parts = [short.withColumn("position", F.col("position").cast("long"))]
+    head = 2 + len(_FIGURES)
+    sizes = evals.groupBy(RUN).agg(F.count(F.lit(1)).alias("__n")).join(summary.select(RUN), RUN)
+    title = F.split(_table(["step", "val_loss", "val_perplexity"], F.lit(None).cast("string")), "\n")
+    begin = sizes.select(RUN, F.posexplode(F.concat(F.array(F.lit("")), title)).alias("position", "line"))
+    parts.append(begin.withColumn("position", F.col("position").cast("long") + head))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", F.col(STEP).cast("string"), _shown("val_loss", 4), _shown("val_perplexity", 2)), F.lit(" |"))
+    known = evals.select(RUN, STEP, line.alias("line")).join(summary.select(RUN), RUN, "left_semi")
+    parts.append(row_index(known, [STEP], "position", [RUN], rows).select(RUN, F.col("position") + head + 3, "line"))
+    if samples is not None:
+        newest = samples.withColumn("__rn", F.row_number().over(Window.partitionBy(RUN).orderBy(F.col(STEP).desc()))).where(F.col("__rn") <= last_samples)
+        text = F.concat(F.lit("step "), F.col(STEP).cast("string"), F.lit(": "), F.col("prompt"), F.lit(" -> "), F.substring("text", 1, sample_chars))
+        told = newest.groupBy(RUN).agg(F.array_sort(F.collect_list(F.struct(F.col(STEP).alias("step"), text.alias("line")))).alias("__told"))
+        after = summary.select(RUN).join(told, RUN).join(sizes, RUN, "left")
+        start = F.lit(head).cast("long") + F.coalesce(F.col("__n") + 3, F.lit(0).cast("long"))
+        told_lines = F.concat(F.array(F.lit("")), F.transform("__told", lambda x: x["line"]))
+        placed = after.select(RUN, start.alias("__start"), F.posexplode(told_lines).alias("position", "line"))
+        parts.append(placed.select(RUN, (F.col("__start") + F.col("position")).alias("position"), "line"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part.toDF(RUN, "position", "line"))
+    return whole

@@ -320,9 +320,32 @@ SELECT r.run, concat_ws(chr(10), '| metric | value |', '|---|---|', '| head mean
   '|---|---|---|', h.lines, '', p.lines) AS report
 FROM r JOIN b USING (run) JOIN h USING (run) JOIN p USING (run)""")
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole report of each run; samples are stand-ins made from the log."""
+    """The report of each run with its last 50 evaluations; samples are stand-ins made from the log."""
     log = train_log(spark, sf_dir)
     evals = eval_log(log)
+    return runs.summary_text(runs.run_summary(log, evals), evals, _samples(log), last_evals=50)
+
+
+def _samples(log: DataFrame) -> DataFrame:
     prompt, text = F.concat(F.lit("at "), F.col("tokens_seen").cast("string")), F.round("loss").cast("long").cast("string")
-    samples = log.select("run", "step", prompt.alias("prompt"), text.alias("text"))
-    return runs.summary_text(runs.run_summary(log, evals), evals, samples)
+    return log.select("run", "step", prompt.alias("prompt"), text.alias("text"))
+
+
+@query("run_report_lines", f"""{_EVAL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM log),
+r AS (SELECT run, avg(loss) FILTER (WHERE step <= 100) AS h, avg(loss) FILTER (WHERE back <= 100) AS t, min(loss) AS lo,
+      max(tokens_seen) AS tokens, max(elapsed_sec) AS s FROM ranked GROUP BY run),
+b AS (SELECT run, min(val_loss) AS best, count(*) AS n FROM evals GROUP BY run)
+SELECT run, unnest(range(12)) AS position, unnest(['| metric | value |', '|---|---|', '| head mean | ' || printf('%.4f', round_even(h, 4)) || ' |',
+  '| tail mean | ' || printf('%.4f', round_even(t, 4)) || ' |', '| min loss | ' || printf('%.4f', round_even(lo, 4)) || ' |',
+  '| best val loss | ' || printf('%.4f', round_even(best, 4)) || ' |', '| best perplexity | ' || printf('%.2f', round_even(exp(least(best, 20.0)), 2)) || ' |',
+  '| throughput | ' || printf('%.0f', round_even(tokens / s, 0)) || ' |', '| duration | ' || {_DURATION} || ' |', '', '| step | val loss | val perplexity |',
+  '|---|---|---|']) AS line FROM r JOIN b USING (run)
+UNION ALL SELECT run, 11 + row_number() OVER (PARTITION BY run ORDER BY step),
+  '| ' || step || ' | ' || printf('%.4f', round_even(val_loss, 4)) || ' | ' || printf('%.2f', round_even(val_perplexity, 2)) || ' |' FROM evals
+UNION ALL SELECT run, 12 + n, '' FROM b
+UNION ALL SELECT run, 13 + n + least(5, n) - back, 'step ' || step || ': at ' || tokens_seen || ' -> ' || loss::BIGINT FROM ranked JOIN b USING (run) WHERE back <= 5""")
+def run_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report of each run as ordered rows, every evaluation among them."""
+    log = train_log(spark, sf_dir)
+    evals = eval_log(log)
+    return runs.report_lines(runs.run_summary(log, evals), evals, _samples(log), rows=event_count(spark, sf_dir))

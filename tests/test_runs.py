@@ -178,3 +178,18 @@ def test_formulas(spark):
     assert capped.p == pytest.approx(math.exp(20)) and capped.e is None
     est = spark.range(1).select(*[c.alias(n) for n, c in numbers.run_estimate(F.lit(1000.0), 10**9, 50).items()]).first()
     assert est.expected_throughput == 8000 and est.est_hours == pytest.approx(10**9 / 8000 / 3600) and est.status == "OK"
+
+
+def test_a_report_has_the_whole_history(spark, ranges):
+    log = spark.createDataFrame([("hot", s, 5.0 - s / 100, s * 2.0, s * 10) for s in range(1, 121)] + [("b", 1, 4.0, 2.0, 10)],
+                                "run string, step long, loss double, elapsed_sec double, tokens_seen long")
+    evals = log.select("run", "step", F.col("loss").alias("val_loss"), F.exp("loss").alias("val_perplexity")).where("run = 'hot'")
+    samples = log.select("run", "step", F.lit("p").alias("prompt"), F.lit("t").alias("text"))
+    summary = runs.run_summary(log, evals)
+    text = {r.run: r.report for r in runs.summary_text(summary, evals, samples).collect()}
+    assert [x.split()[1] for x in text["hot"].split("\n")[12:132]] == [str(s) for s in range(1, 121)]
+    lines = sorted(runs.report_lines(summary, evals, samples).collect(), key=lambda r: (r.run, r.position))
+    for run, report in text.items():
+        own = [r for r in lines if r.run == run]
+        assert [r.position for r in own] == list(range(len(own)))
+        assert "\n".join(r.line for r in own) == report
