@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import pickle
+import tempfile
+from collections.abc import Iterable, Iterator
 from functools import partial
+from typing import IO
 
 import numpy as np
 import pandas as pd
@@ -21,29 +25,94 @@ def encode_stream(docs: DataFrame, order: str, text: str) -> DataFrame:
     return drop_blank(docs, text).select(order, encode_bytes(F.col(text)).alias("tokens"))
 
 
+#: Bytes of tokens that are sorted in memory at a time, sorted runs that are merged at a time, and bytes cut into blocks at a time.
+RUN_BYTES, MAX_RUNS, CUT_BYTES = 32 << 20, 64, 4 << 20
+
+Row = tuple[tuple, bytes | np.ndarray]
+
+
+def _spool(rows: Iterable[Row]) -> IO[bytes]:
+    """Rows in a nameless temporary file, which ends with the process at the latest."""
+    file = tempfile.TemporaryFile()
+    for row in rows:
+        pickle.dump(row, file, pickle.HIGHEST_PROTOCOL)
+    file.seek(0)
+    return file
+
+
+def _load(file: IO[bytes]) -> Iterator[Row]:
+    with file:
+        while True:
+            try:
+                yield pickle.load(file)
+            except EOFError:
+                return
+
+
+def _merge(runs: Iterable[Iterable[Row]]) -> Iterator[Row]:
+    return heapq.merge(*runs, key=lambda row: row[0])
+
+
+def _in_order(chunks: Iterable[pd.DataFrame], order: str) -> Iterator[bytes | np.ndarray]:
+    """Tokens of all rows by ``order``: sorted runs in files, merged, so memory does not grow with the rows."""
+    levels: list[list[IO[bytes]]] = []
+    rows: list[Row] = []
+    size = 0
+
+    def keep(run: Iterable[Row], level: int = 0) -> None:
+        if level == len(levels):
+            levels.append([])
+        levels[level].append(_spool(run))
+        if len(levels[level]) == MAX_RUNS:
+            full, levels[level] = levels[level], []
+            keep(_merge(map(_load, full)), level + 1)
+
+    for chunk in chunks:
+        for key, doc in zip(chunk[order], chunk["tokens"]):
+            rows.append(((True, 0) if pd.isna(key) else (False, key), doc))
+            size += len(doc) if isinstance(doc, bytes) else 8 * len(doc)
+            if size >= RUN_BYTES:
+                rows.sort(key=lambda row: row[0])
+                keep(rows)
+                rows, size = [], 0
+    rows.sort(key=lambda row: row[0])
+    runs = [_load(file) for level in levels for file in level]
+    for _, doc in _merge([*runs, rows]):
+        yield doc
+
+
 def _pack_shard(
     key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, block: int, order: str, limit: int | None,
     as_bytes: bool,
 ) -> Iterator[pd.DataFrame]:
-    """Append a shard's new documents to what was left over and emit the blocks this completes."""
+    """Append a shard's new documents to what was left over and emit the blocks this completes, some at a time."""
     left, next_block = state.get if state.exists else (b"" if as_bytes else [], 0)
-    docs = pd.concat(list(chunks)).sort_values(order)["tokens"]
-    if as_bytes:
-        tokens = b"".join([left, *docs])
-    else:
-        tokens = np.concatenate([np.asarray(t, np.int32) for t in (left, *docs)])
-    n = max((len(tokens) - 1) // block, 0)
-    emitted = n if limit is None else min(n, max(limit - next_block, 0))
-    if emitted:
-        yield pd.DataFrame(
-            {
-                "shard": key[0],
-                "block_id": np.arange(next_block, next_block + emitted),
-                "chunk": [tokens[s : s + block + 1] for s in range(0, emitted * block, block)],
-            }
-        )
-    rest = tokens[n * block :] if limit is None or next_block + n < limit else tokens[:0]
-    state.update((rest if as_bytes else rest.tolist(), int(next_block + n)))
+    size = max(CUT_BYTES if as_bytes else CUT_BYTES // 4, 2 * block)
+    parts, held = [left], len(left)
+
+    def cut() -> Iterator[pd.DataFrame]:
+        nonlocal parts, held, next_block
+        tokens = b"".join(parts) if as_bytes else np.concatenate([np.asarray(t, np.int32) for t in parts])
+        n = max((len(tokens) - 1) // block, 0)
+        emitted = n if limit is None else min(n, max(limit - next_block, 0))
+        if emitted:
+            yield pd.DataFrame(
+                {
+                    "shard": key[0],
+                    "block_id": np.arange(next_block, next_block + emitted),
+                    "chunk": [tokens[s : s + block + 1] for s in range(0, emitted * block, block)],
+                }
+            )
+        rest = tokens[n * block :] if limit is None or next_block + n < limit else tokens[:0]
+        parts, held, next_block = [rest], len(rest), int(next_block + n)
+
+    for doc in _in_order(chunks, order):
+        parts.append(doc)
+        held += len(doc)
+        if held >= size:
+            yield from cut()
+    yield from cut()
+    state.update((parts[0] if as_bytes else parts[0].tolist(), next_block))
 
 
 def pack_stream(
@@ -53,7 +122,8 @@ def pack_stream(
     """``shard, block_id, chunk`` of a stream of token sequences, each shard packed on its own.
 
     Chunks hold ``block + 1`` tokens in the carrier's form; ``shift`` reads ``x`` and ``y`` off them.
-    A shard keeps at most ``block`` tokens between micro-batches. Choose the shard by a hash of the
+    A shard keeps at most ``block`` tokens between micro-batches; within one its documents are sorted
+    in temporary files beyond ``RUN_BYTES`` and blocks are emitted as they fill. Choose the shard by a hash of the
     order column: shards of even size, as many as there should be parallel packers. ``max_tokens``
     is a budget per shard. Documents are taken in the order of their micro-batches, and by
     ``order`` within one.

@@ -1,6 +1,10 @@
+import hashlib
 import os
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from loomframe.operators.packing import shift
 from loomframe.operators.runs import running_best, smooth_metric, step_throughput
 from loomframe.operators.tokens import BYTES, ArrayCarrier, encode_bytes
 from loomframe.sources.corpus import read_stream
+from loomframe.streaming import pack
 from loomframe.streaming.metrics import ROW_SCHEMA, LiveMetrics
 from loomframe.streaming.pack import encode_stream, pack_stream, run_to_files
 from tests import models
@@ -92,3 +97,46 @@ def test_live_metrics_equal_the_whole_log(spark, tmp_path, ranges):
     last = spark.createDataFrame(rows[22:], ROW_SCHEMA)
     live(last, 2)  # a batch that is delivered again changes nothing
     assert sorted(tuple(r) for r in live.rows(spark).collect()) == before
+
+
+class State:
+    exists = False
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+@pytest.mark.parametrize("as_bytes", [True, False])
+@pytest.mark.parametrize("limit", [None, 1500])
+def test_a_shard_is_not_held_in_memory(monkeypatch, as_bytes, limit):
+    for name, value in (("RUN_BYTES", 200_000), ("MAX_RUNS", 4), ("CUT_BYTES", 100_000)):
+        monkeypatch.setattr(pack, name, value, raising=False)
+    docs, block = 4000, 1024
+
+    def doc(k):
+        return bytes([k % 251]) * (1500 + k % 100)
+
+    keys = random.Random(4).sample(range(docs), docs)
+
+    def chunks(part):
+        for at in range(0, len(part), 50):
+            own = [doc(k) for k in part[at : at + 50]]
+            yield pd.DataFrame({"k": part[at : at + 50], "tokens": own if as_bytes else [np.frombuffer(d, np.uint8).astype(np.int32) for d in own]})
+
+    state, ids, digest, most = State(), [], hashlib.md5(), 0
+    tracemalloc.start()
+    for part in ([k for k in keys if k < 3000], [k for k in keys if k >= 3000]):
+        for frame in pack._pack_shard((7,), chunks(part), state, block, "k", limit, as_bytes):
+            ids += frame["block_id"].tolist()
+            most = max(most, len(frame))
+            for chunk in frame["chunk"]:
+                digest.update(chunk if as_bytes else np.asarray(chunk).astype(np.uint8).tobytes())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = b"".join(map(doc, range(docs)))
+    n = min((len(whole) - 1) // block, limit or len(whole))
+    want = hashlib.md5(b"".join(whole[b * block : (b + 1) * block + 1] for b in range(n)))
+    assert ids == list(range(n)) and digest.digest() == want.digest()
+    assert most < 200 and peak < len(whole) / 2
+    if limit is None:
+        assert bytes(state.get[0]) == whole[n * block :] and state.get[1] == n
