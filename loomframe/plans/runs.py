@@ -160,6 +160,15 @@ def curve_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.curve_overlay(log, runs.interval_rows(eval_log(log), 50)).select("run", "step", "loss", "val_loss", *rounded("val_perplexity", digits=3))
 
 
+@query("curve_overlay_all", f"""{_EVAL}
+SELECT l.run, l.step, l.loss, e.val_loss, round(e.val_perplexity, 3) AS val_perplexity
+FROM log l LEFT JOIN evals e ON e.run = l.run AND e.step = l.step""")
+def curve_overlay_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every evaluation beside its training row."""
+    log = train_log(spark, sf_dir)
+    return runs.curve_overlay(log, eval_log(log)).select("run", "step", "loss", "val_loss", *rounded("val_perplexity", digits=3))
+
+
 @query("curve_downsample", f"""{_LOG}, sized AS (SELECT run, step, loss, step - 1 AS pos, count(*) OVER (PARTITION BY run) AS n FROM log),
 kept AS (SELECT * FROM sized WHERE pos % (n // least(50, n)) = 0 AND pos // (n // least(50, n)) < least(50, n)),
 ends AS (SELECT *, min(loss) OVER (PARTITION BY run) AS lo, max(loss) OVER (PARTITION BY run) AS hi FROM kept)

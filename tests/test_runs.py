@@ -193,3 +193,17 @@ def test_a_report_has_the_whole_history(spark, ranges):
         own = [r for r in lines if r.run == run]
         assert [r.position for r in own] == list(range(len(own)))
         assert "\n".join(r.line for r in own) == report
+
+
+def test_an_overlay_keeps_rows_without_an_evaluation(spark):
+    log = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 1.5), ("b", 1, 3.0)], "run string, step long, loss double")
+    evals = spark.createDataFrame([("a", 2, 1.0, 2.7), ("a", 3, 9.0, 9.0)], "run string, step long, val_loss double, val_perplexity double")
+    got = runs.curve_overlay(log, evals).select("run", "step", "loss", "val_loss").collect()
+    assert sorted(map(tuple, got)) == [("a", 1, 2.0, None), ("a", 2, 1.5, 1.0), ("b", 1, 3.0, None)]
+
+
+def test_an_overlay_of_the_whole_table_has_all_evaluations(spark):
+    import __spark_entry__ as entry
+
+    got = entry.queries()["curve_overlay_all"](spark, "/root/testdata/sf0.001")
+    assert got.where("val_loss is null").isEmpty() and not got.isEmpty()
