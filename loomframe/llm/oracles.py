@@ -84,3 +84,33 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(low.y,
        s.doc_id = least(s.doc_id, coalesce(low.y, s.doc_id)) AS kept
 FROM sets s LEFT JOIN low ON low.x = s.doc_id
 """
+
+ORACLES["op12_ball_tree"] = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+damped AS (SELECT doc_id, 10 + (90 * n * docs) // total AS m FROM sizes, totals),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+),
+scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN damped USING (doc_id) GROUP BY item_id, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm import best_fit, chat_machine, language_mix, minhash, outliers, page_diff, piece_bpe, rotation_codes, substring_dedup, toxicity
+from loomframe.llm import ball_tree, best_fit, chat_machine, language_mix, minhash, outliers, page_diff, piece_bpe, rotation_codes, substring_dedup, toxicity
 from loomframe.llm.common import crc_fold, cut_lineage, documents, read
 from loomframe.llm.oracles import ORACLES
 
@@ -99,3 +99,8 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
