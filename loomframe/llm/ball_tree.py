@@ -29,7 +29,7 @@ ITEMS_PER_PASS = 256
 #: Documents, and entries of their vectors, in one tree; a single larger document has a tree of its own.
 TREE_ROWS = 16_384
 TREE_ENTRIES = 4_000_000
-LEAF_ROWS = 24
+LEAF_ROWS = 64
 #: Stands for a null id, which comes after all others.
 LAST = (1 << 63) - 1
 #: Bytes of a text that are cut into words at a time.
