@@ -114,3 +114,89 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
 WHERE rank <= 10
 """
+
+ORACLES["op11_integer_repair"] = r"""
+WITH RECURSIVE crcs AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(
+        list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+checked AS (
+    SELECT c.*, xor(list_reduce(
+        list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+    FROM conversations c, crcs
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text
+    FROM checked, LATERAL unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copies(c)
+    WHERE kind <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+),
+judged AS (
+    SELECT conv_id, turn, i, role, text, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE '?' END AS initial,
+           right(rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 1) AS final,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS copy
+    FROM placed
+),
+rows AS (
+    SELECT *, CASE WHEN final = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM judged
+),
+put(a, b, cost, said) AS (
+    VALUES ('-', '-', 0, ''), ('-', 'u', 5, 'I'), ('-', 'a', 10, 'II'), ('s', 's', 0, ''), ('s', 'u', 5, 'I'), ('s', 'a', 10, 'II'),
+           ('u', 'u', 0, ''), ('u', 'a', 5, 'I'), ('a', 'a', 0, ''), ('a', 'u', 5, 'I')
+),
+follows(a, b) AS (VALUES ('-', 's'), ('-', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+steps(initial, fault, a, b, cost, said) AS (
+    SELECT initial, fault, m.a, put.b, m.cost + put.cost, m.said || put.said
+    FROM (
+        SELECT initial, fault, a, a AS b, 2 AS cost, 'D' AS said FROM (SELECT DISTINCT initial, fault FROM rows), (SELECT DISTINCT a FROM put)
+        UNION ALL
+        SELECT initial, fault, a, b, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K'
+        FROM (SELECT DISTINCT initial, fault FROM rows WHERE fault NOT IN ('blank', 'duplicate')) JOIN follows ON b = initial
+        UNION ALL
+        SELECT initial, fault, a, b, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R'
+        FROM (SELECT DISTINCT initial, fault FROM rows WHERE fault NOT IN ('blank', 'duplicate')), follows WHERE b IN ('u', 'a')
+    ) m JOIN put ON put.a = m.b
+),
+walk(conv_id, i, state, best) AS (
+    SELECT c.conv_id, 0::BIGINT, put.b, {'cost': put.cost, 'audit': put.said} FROM (SELECT DISTINCT conv_id FROM rows) c, put WHERE put.a = '-'
+    UNION ALL
+    SELECT w.conv_id, w.i + 1, s.b, min({'cost': w.best.cost + s.cost, 'audit': w.best.audit || s.said})
+    FROM walk w JOIN rows r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+    JOIN steps s ON s.initial = r.initial AND s.fault = r.fault AND s.a = w.state
+    GROUP BY w.conv_id, w.i, s.b
+),
+counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY conv_id
+),
+ends AS (
+    SELECT w.conv_id, min(w.best) AS best FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+    WHERE w.state IN ('-', 'a') GROUP BY w.conv_id
+),
+spelled AS (
+    SELECT conv_id, k, best.audit[k] AS letter, k - len(replace(best.audit[1:k], 'I', '')) AS put_in,
+           len(replace(best.audit, 'D', '')) - len(replace(best.audit[1:k], 'D', '')) AS after
+    FROM (SELECT conv_id, best, unnest(range(1, len(best.audit) + 1)) AS k FROM ends)
+),
+repaired AS (
+    SELECT s.conv_id, string_agg(CASE s.letter WHEN 'K' THEN r.role ELSE CASE WHEN s.after % 2 = 0 THEN 'assistant' ELSE 'user' END END
+           || ':' || CASE s.letter WHEN 'I' THEN '' ELSE r.text END, chr(10) ORDER BY k) AS said
+    FROM spelled s LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.k - s.put_in AND s.letter <> 'I'
+    WHERE s.letter <> 'D' GROUP BY s.conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(coalesce(p.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm import ball_tree, best_fit, chat_machine, language_mix, minhash, outliers, page_diff, piece_bpe, rotation_codes, substring_dedup, toxicity
+from loomframe.llm import ball_tree, best_fit, chat_machine, conversation_repair, language_mix, minhash, outliers, page_diff, piece_bpe, rotation_codes, substring_dedup, toxicity, winnowing
 from loomframe.llm.common import crc_fold, cut_lineage, documents, read
 from loomframe.llm.oracles import ORACLES
 
@@ -101,6 +101,17 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_integer_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damage(turns), keys=turns)
+
+
 @query
 def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.search(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.against_next(documents(spark, sf_dir))
