@@ -12,6 +12,7 @@ length and joins the plan; no task sees more than a bucket of them.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,6 +147,10 @@ def place(pieces: DataFrame, length: str, order: list[str], capacity: int = CAPA
     )
 
 
+#: Runs of blanks from this length on are encoded without the split pattern, whose engine gives up on runs of a million.
+LONG_RUN = 100_000
+
+
 class Vocabulary:
     """Byte-level BPE from a tokenizer file: its ranks, pattern and special strings."""
 
@@ -163,9 +169,28 @@ class Vocabulary:
         spelled = {piece: i for piece, i in spec["model"]["vocab"].items() if piece not in special}
         ranks = {bytes(byte_of[c] for c in piece): i for piece, i in spelled.items()}
         self.encoding = tiktoken.Encoding("bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.special = tuple(special)
+        self.whole = tokenizers.Tokenizer.from_str(file.decode())
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text, allowed_special="all")
+        parts, at = [], 0
+        for low, high in long_runs(text, self.special) if len(text) >= LONG_RUN else ():
+            parts.append(self.encoding.encode_to_numpy(text[at:low], allowed_special="all"))
+            parts.append(np.array(self.whole.encode(text[low:high], add_special_tokens=False).ids, np.uint32))
+            at = high
+        parts.append(self.encoding.encode_to_numpy(text[at:], allowed_special="all"))
+        return np.concatenate(parts)
+
+
+def long_runs(text: str, special: tuple[str, ...]) -> Iterator[tuple[int, int]]:
+    """Where long runs of blanks begin and end that the split pattern makes one piece of.
+
+    A run gives its last blank to what follows, unless that is the end or a special string.
+    """
+    for run in re.finditer(r"\s+", text):
+        low, high = run.span()
+        if high - low >= LONG_RUN:
+            yield low, high if high == len(text) or text.startswith(special, high) else high - 1
 
 
 _VOCABULARIES: dict[int, Vocabulary] = {}

@@ -104,3 +104,25 @@ def test_empty_table_and_ids(spark):
     one = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
     row = bf.token_pieces(one, PATH, with_ids=True).first()
     assert row["ids"] == [*tokenizers.Tokenizer.from_file(PATH).encode("hello world").ids, 2]
+
+
+LONG_TEXTS = {
+    "blanks": " " * 2_000_000, "line ends": "\n" * 1_000_000, "run at the end": "some words" + " \n" * 600_000,
+    "run before a letter": "a" + "\n" * 1_100_001 + "b c", "run before a special string": "x" + "\n" * 1_100_001 + "<|endoftext|>y",
+    "several runs": ("w" + "\n" * 150_001) * 3 + "\t" * 120_000 + "!", "other blanks": "\u3000\xa0" * 600_000 + "z",
+}
+
+
+@pytest.mark.parametrize("name", LONG_TEXTS)
+def test_long_runs_of_blanks(name):
+    with open(PATH, "rb") as file:
+        vocabulary = bf.Vocabulary(file.read())
+    got = vocabulary.encode(LONG_TEXTS[name])
+    assert np.array_equal(got, vocabulary.whole.encode(LONG_TEXTS[name], add_special_tokens=False).ids)
+
+
+def test_long_runs_in_a_job(spark):
+    rows = [(1, " " * 1_200_000), (2, "a" + "\n" * 1_000_001 + " b"), (3, "short")]
+    got = bf.token_pieces(spark.createDataFrame(rows, "doc_id long, text string"), PATH).groupBy("doc_id").sum("length").collect()
+    whole = tokenizers.Tokenizer.from_file(PATH)
+    assert sorted(map(tuple, got)) == [(k, len(whole.encode(t, add_special_tokens=False).ids) + 1) for k, t in rows]
