@@ -175,12 +175,12 @@ def against_next(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     places = [r["range"] for r in firsts]
     before = {here: places[i - 1] for i, here in enumerate(places)}
     guests = docs.sparkSession.createDataFrame(
-        [(r["range"], r["at"]["id"], r["at"]["tie"], before[r["range"]]) for r in firsts],
-        T.StructType([T.StructField("__r", T.IntegerType()), T.StructField("__id", kind), T.StructField("__tie", T.LongType()), T.StructField("__to", T.IntegerType())]),
+        [(r["at"]["id"], r["at"]["tie"], before[r["range"]]) for r in firsts],
+        T.StructType([T.StructField("__id", kind), T.StructField("__tie", T.LongType()), T.StructField("__to", T.IntegerType())]),
     )
-    own = ranged(given.withColumn("tie", F.xxhash64("said")))
-    match = (F.col("range") == F.col("__r")) & F.col("id").eqNullSafe(F.col("__id")) & (F.col("tie") == F.col("__tie"))
-    copies = own.join(F.broadcast(guests), match, "left").select(
+    own = given.withColumn("tie", F.xxhash64("said"))
+    match = F.col("id").eqNullSafe(F.col("__id")) & (F.col("tie") == F.col("__tie"))
+    copies = ranged(own.join(F.broadcast(guests), match, "left")).select(
         "id", "tie", "said",
         F.explode(F.array_compact(F.array(
             F.struct("range", F.lit(0).alias("guest")),
