@@ -48,6 +48,14 @@ FRAME_WORDS = frozenset(
     "gdpr masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted related "
     "respond share sharing sidebar skip social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Of these, words of what readers, advertisers and networks add: it is left out whatever it holds and however long it is.
+ADDED_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promoted respond share sharing sponsor sponsored".split()
+)
+#: Words that make a name one of layout: of pages that have, lack or surround such parts.
+LAYOUT_WORDS = frozenset("disabled enabled free has hide inner layout no off on open outer page show with without wrap wrapper".split())
+#: What may stand before "header" in the name of a page's head.
+WHOLE_WORDS = frozenset("global main page site top".split())
 FRAME_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 _TOKEN = re.compile(
@@ -66,134 +74,177 @@ class Line:
     content: bool
 
 
-def _is_frame_name(name: str, header: bool) -> bool:
-    """Is a whole class or id name a frame word, or put together from frame words only ("cookie-notice")?"""
-    parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
-    return bool(parts) and all(p in FRAME_WORDS or header and p == "header" for p in parts)
-
+def _word_of(name: str, header: bool) -> str | None:
+    """The frame word that a class or id name begins or ends with ("cookie-notice", "comment-list", "site-footer"), if any.
 
-def _is_frame(name: str, attributes: str, in_content: bool) -> bool:
-    """Does this element hold something else than the main text?"""
-    if name in DROPPED or (name == "header" and not in_content):
-        return True
-    if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
-    for found in _ATTRIBUTE.finditer(attributes):
-        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
-        if key in ("class", "id") and any(_is_frame_name(n, name not in CONTENT and not in_content) for n in value.split()):
-            return name not in ("html", "body")
-        words = set(re.split(r"[^a-z0-9]+", value))
-        if key == "role" and words & FRAME_ROLES:
-            return True
-    return _is_hidden(attributes)
-
-
-def _is_hidden(attributes: str) -> bool:
-    for found in _ATTRIBUTE.finditer(attributes):
-        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+    Names with a word of layout ("has-sidebar", "ad-free") have none.
+    """
+    parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
+    if not parts:
+        return None
+    if header and parts[-1] == "header" and WHOLE_WORDS.issuperset(parts[:-1]):
+        return "header"
+    if LAYOUT_WORDS.intersection(parts):
+        return None
+    return next((p for p in (parts[0], parts[-1]) if p in FRAME_WORDS), None)
 
 
 #: Elements that are named for what they hold; even one that holds most of the text is left out.
 NAMED = frozenset("nav footer aside menu dialog button datalist".split())
+HARD, SOFT = "hard", "soft"
+
+
+def _frame(name: str, attributes: str, in_content: bool) -> str | None:
+    """Does this element hold something else than the main text: surely (hard), or unless it is the body (soft)?"""
+    if name in NAMED:
+        return HARD
+    found = SOFT if name in DROPPED or (name == "header" and not in_content) else None
+    if not attributes or "=" not in attributes and "hidden" not in attributes:
+        return found
+    for item in _ATTRIBUTE.finditer(attributes):
+        key, value = item[1].lower(), (item[2] or item[3] or item[4] or "").lower()
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
+            return HARD
+        if key in ("class", "id") and name not in ("html", "body"):
+            for word in filter(None, (_word_of(n, name not in CONTENT and not in_content) for n in value.split())):
+                if word in ADDED_WORDS:
+                    return HARD
+                found = SOFT
+        if key == "role" and FRAME_ROLES.intersection(re.split(r"[^a-z0-9]+", value)):
+            found = SOFT
+    return found
 
 
 @dataclass
-class Left:
-    """An element left out: where it begins, how much text it holds, whether it holds a content element."""
+class Open:
+    """An element that matters: frame of either kind or content; ``depth`` counts elements of its name that are open in it."""
 
-    at: int
-    soft: bool
-    text: int = 0
-    content: bool = False
+    name: str
+    kind: str | None
+    soft: int  # number of the innermost soft frame, this one included
+    content: bool
+    depth: int = 1
+
+
+class Outline:
+    """One pass over a page: its lines, each with the innermost soft frame that it stands in."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.lines: list[tuple[Line, int]] = []
+        self.above = [-1]  # of each soft frame, the one around it; number 0 is the page
+        self.holds = [0]  # content elements right in a soft frame, not in one inside it
+        self.stack: list[Open] = []
+        self.places: dict[str, list[int]] = {}  # of each name, where it is on the stack
+        self.hard = self.content = 0  # how many of them are open
+        self.words: list[str] = []
+        self._read()
+
+    def _close_line(self) -> None:
+        if self.words:
+            text = " ".join(html.unescape("".join(self.words)).split())
+            if text:
+                self.lines.append((Line(text, self.content > 0), self._soft()))
+            self.words.clear()
+
+    def _soft(self) -> int:
+        return self.stack[-1].soft if self.stack else 0
+
+    def _push(self, name: str, kind: str | None) -> None:
+        soft = self._soft()
+        content = name in CONTENT and kind != HARD
+        if kind == SOFT:
+            self.above.append(soft)
+            self.holds.append(0)
+            soft = len(self.above) - 1
+        self.holds[soft] += content
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append(Open(name, kind, soft, content))
+        self.hard += kind == HARD
+        self.content += content
+
+    def _pop_to(self, size: int) -> None:
+        while len(self.stack) > size:
+            gone = self.stack.pop()
+            self.places[gone.name].pop()
+            self.hard -= gone.kind == HARD
+            self.content -= gone.content
+
+    def _end(self, name: str) -> None:
+        if name in ("body", "html"):
+            self._pop_to(0)
+        elif self.places.get(name):
+            at = self.places[name][-1]
+            self.stack[at].depth -= 1
+            if not self.stack[at].depth:
+                self._pop_to(at)  # elements in it that were never closed end here as well
+
+    def _begin(self, name: str, attributes: str) -> None:
+        kind = None if self.hard else _frame(name, attributes, self.content > 0)
+        if kind:
+            self._close_line()
+        if kind or name in CONTENT and not self.hard:
+            self._push(name, kind)
+        elif self.places.get(name):
+            self.stack[self.places[name][-1]].depth += 1
+
+    def _read(self) -> None:
+        page, at, end = self.page, 0, len(self.page)
+        while at < end:
+            found = _TOKEN.search(page, at)
+            stop = found.start() if found else end
+            if stop > at and not self.hard:
+                self.words.append(page[at:stop])
+            if not found:
+                break
+            at = found.end()
+            closing, name = (found[1], found[2]) if found[2] else (found[4], found[5])
+            if not name:
+                if not self.hard and found[0].startswith("<![CDATA["):
+                    self.words.append(html.escape(found[0][9:].removesuffix("]]>")))
+                continue
+            name = name.lower()
+            attributes = found[3] or found[6] or ""
+            if name in BLOCKS and not self.hard:
+                self._close_line()
+            if closing:
+                if self.places.get(name) or name in ("body", "html"):
+                    if not self.hard:
+                        self._close_line()
+                    self._end(name)
+            elif name in RAW:
+                at = _after_raw(page, at, name, attributes)
+            elif name not in VOID and not attributes.endswith("/"):
+                if name == "body" and self.places.get("head"):
+                    self._pop_to(self.places["head"][-1])
+                self._begin(name, attributes)
+        self._close_line()
+
+    def kept(self) -> list[Line]:
+        """Lines outside soft frames, and of those frames that hold the body: more than half of the text, and either
+        content elements or what the page has none of outside. Such frames lie in each other, the outermost first."""
+        sizes = [0] * len(self.above)
+        for line, soft in self.lines:
+            sizes[soft] += len(line.text)
+        total, holds = list(sizes), list(self.holds)
+        for soft in range(len(sizes) - 1, 0, -1):
+            total[self.above[soft]] += total[soft]
+            holds[self.above[soft]] += holds[soft]
+        spared, outside = {0}, self.holds[0] > 0
+        for soft in range(1, len(total)):
+            if self.above[soft] in spared and 2 * total[soft] > total[0] and (holds[soft] or not outside):
+                spared.add(soft)
+                outside = outside or self.holds[soft] > 0
+        return [line for line, soft in self.lines if soft in spared]
 
 
 def lines_of(page: str | None) -> list[Line]:
     """Lines of a page in order, without what markup declares to be something else.
 
-    An element stays if it holds the only article or main elements of the page, or most of its text
-    (unless it is named or hidden as frame, or the page has such elements elsewhere).
+    Hidden elements, navigation, comments, adverts and share buttons are always left out. Any other
+    element named as frame stays if it holds the body of the page, see :meth:`Outline.kept`.
     """
-    page = page or ""
-    spared: set[int] = set()
-    while True:
-        lines, left, outside = _parse(page, spared)
-        half = (sum(len(line.text) for line in lines) + sum(x.text for x in left)) / 2
-        more = {x.at for x in left if (x.content and (not outside or x.text > half)) or (x.soft and not outside and x.text > half)}
-        if not more:
-            return lines
-        spared |= more  # elements inside are looked at next
-
-
-def _parse(page: str, spared: set[int]) -> tuple[list[Line], list[Left], bool]:
-    """Lines, elements left out, and whether there is a content element outside these."""
-    lines: list[Line] = []
-    left: list[Left] = []
-    outside = False
-    inner = 0  # content elements open inside the element that is being left out
-    words: list[str] = []
-    content = 0  # open article and main elements
-    frame, depth = "", 0  # the element that is being left out, and how often it is open
-    at, end = 0, len(page)
-
-    def close() -> None:
-        if words:
-            text = " ".join(html.unescape("".join(words)).split())
-            if text:
-                lines.append(Line(text, content > 0))
-            words.clear()
-
-    while at < end:
-        found = _TOKEN.search(page, at)
-        stop = found.start() if found else end
-        if stop > at and not frame:
-            words.append(page[at:stop])
-        elif stop > at:
-            left[-1].text += len(" ".join(page[at:stop].split()))
-        if not found:
-            break
-        at = found.end()
-        closing, name = (found[1], found[2]) if found[2] else (found[4], found[5])
-        if not name:
-            if not frame and found[0].startswith("<![CDATA["):
-                words.append(html.escape(found[0][9:].removesuffix("]]>")))
-            continue
-        name = name.lower()
-        attributes = found[3] or found[6] or ""
-        if frame:
-            if name in CONTENT and name != frame and not attributes.endswith("/") and (not closing or inner):
-                inner += -1 if closing else 1
-                left[-1].content = True
-            elif name == frame and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-                if not depth:
-                    frame = ""
-            elif closing and name in ("body", "html") or name in CONTENT and closing and content and frame not in CONTENT:
-                frame = ""  # never closed: it ends with what holds it
-                content -= name in CONTENT and content > 0
-            elif not closing and name in RAW:
-                at = _after_raw(page, at, name, attributes)
-            continue
-        if name in BLOCKS:
-            close()
-        if closing:
-            if name in CONTENT:
-                content = max(0, content - 1)
-            continue
-        if name in RAW:
-            at = _after_raw(page, at, name, attributes)
-        elif name not in VOID and found.start() not in spared and _is_frame(name, attributes, content > 0):
-            close()
-            if not attributes.endswith("/"):
-                frame, depth, inner = name, 1, 0
-                soft = name not in NAMED and not _is_hidden(attributes)
-                left.append(Left(found.start(), soft, content=name in CONTENT))
-        elif name in CONTENT and not attributes.endswith("/"):
-            content, outside = content + 1, True
-    close()
-    return lines, left, outside
+    return Outline(page or "").kept()
 
 
 def _after_raw(page: str, at: int, name: str, attributes: str) -> int:
@@ -331,7 +382,7 @@ def _neighbours(outline: DataFrame) -> DataFrame:
     steps = cut_lineage(sorted_pages.mapInArrow(run, schema))
     # the row of a range's first page and the closing row of the range before it meet here
     ends = steps.where("first or id is null").withColumn("at", F.when(F.col("first"), F.col("part") * 2).otherwise(F.col("part") * 2 + 1))
-    order = Window.orderBy("at")
+    order = Window.orderBy("at")  # no partition: two rows per range, as many ranges as there are tasks
     across = ends.select("host", "path", "id", "first", *[F.lag(c).over(order).alias(c) for c in ("host0", "path0", "id0")]).where("first")
     pairs = steps.where("not first and id is not null").select("host", "path", "id", "host0", "path0", "id0").unionByName(across.drop("first"))
     pairs = pairs.where("host = host0 and id <> id0")

@@ -48,6 +48,40 @@ def test_wrappers_of_the_text_stay(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div class=post><p>Body of it</div><section class=comments><article>A reader writes more than the body</article></section>", ["Body of it"]),
+        ("<div><p>Body</div><section id=comments><p>longer than the body of the page</section>", ["Body"]),
+        ("<div class=widget><p>teaser <article>x</article></div><p>the body is longer than it", ["the body is longer than it"]),
+        ("<div class=user-comments><main>all of it</main></div>", []),
+        ("<article class=widget>the body</article>", ["the body"]),
+        ("<div class=site-header>no</div><div class=page-title>yes</div><p class=shareholders>yes", ["yes", "yes"]),
+        ("<p>one<span class=ad-slot>no</span>two<div class=ad>never closed<p>no", ["one", "two"]),
+        ("<div class=widget><article>body</article>", ["body"]), ("<head><title>t</title><body><p>text", ["text"]),
+    ],
+)
+def test_added_sections_go_whatever_they_hold(page, want):
+    assert texts(page) == want
+
+
+@pytest.mark.parametrize("name", "comment-list ad-slot share-buttons site-footer related-posts cookie_notice post-comments".split())
+@pytest.mark.parametrize("kind", ["class", "id"])
+def test_names_with_a_frame_word_at_an_end(name, kind):
+    assert texts(f"<article>body<div {kind}='x {name}'><p>no<article>no</article></div>more</article>") == ["body", "more"]
+
+
+@pytest.mark.parametrize("name", "has-sidebar with-comments ad-free comments-open share-wrapper header-image adsorb story-teller".split())
+def test_names_of_layout(name):
+    assert texts(f"<div class={name}><p>some</div><p>text of a page that is longer") == ["some", "text of a page that is longer"]
+
+
+def test_many_nested_wrappers():
+    for word in ("widget", "plain"):
+        page = f"<div class={word}>" * 5000 + "<p>The body" + "</div>" * 5000 + "</span>" * 5000 + "<p>end"
+        assert texts(page) == ["The body", "end"]
+
+
 def longest(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
@@ -152,6 +186,69 @@ def test_a_teaser_in_an_article_does_not_hide_the_body(spark):
     assert run(spark, rows) == [(k, f"Teaser {k}\nBody {k} is much longer than its teaser") for k in range(4)]
 
 
+def plain_extract(rows):
+    """The whole operator, a host at a time."""
+    lines = {k: pd.lines_of(h) for k, _, h in rows}
+    hosts = {}
+    for k, url, _ in rows:
+        if (at := pd.url_key(url)) is not None:
+            hosts.setdefault(at[0], []).append((at[1], k))
+
+    def common(a, b):
+        return next((i for i, (c, d) in enumerate(zip(a, b)) if c != d), min(len(a), len(b)))
+
+    def against(one, two):
+        a, b = ([x.text for x in lines[k]] for k in (one, two))
+        where, j = [], 0
+        for i, x in enumerate(a):  # lines of the fixture keep their order, so one look forward aligns them
+            if x in b[j:]:
+                j = b.index(x, j) + 1
+                where.append(i)
+        hit, total = sum(len(a[i]) for i in where), sum(map(len, a))
+        return where, hit == total or hit > pd.COPY_SHARE * max(total, sum(map(len, b)))
+
+    found = {}
+    for pages in hosts.values():
+        pages.sort()
+        for at, (path, k) in enumerate(pages):
+            near = [pages[i] for i in (at - 1, at + 1) if 0 <= i < len(pages)]
+            if not near or not lines[k] or not pd._is_open(lines[k]):
+                continue
+            where, copy = against(k, min(near, key=lambda p: (-common(path, p[0]), p[1]))[1])
+            if copy:
+                low = high = at
+                while low > 0 and against(pages[low][1], pages[low - 1][1])[1]:
+                    low -= 1
+                while high + 1 < len(pages) and against(pages[high + 1][1], pages[high][1])[1]:
+                    high += 1
+                far = [pages[i] for i in (low - 1, high + 1) if 0 <= i < len(pages)]
+                where, copy = against(k, min(far, key=lambda p: (-common(path, p[0]), p[1]))[1]) if far else ([], True)
+            if copy:
+                held = [sum(x.text in t for t in {tuple(y.text for y in lines[o]) for _, o in pages}) for x in lines[k]]
+                where = [i for i, n in enumerate(held) if n >= pd.SEVERAL]
+                where = [] if len(where) == len(held) else where
+            found[k] = where
+    return sorted(((k, pd.main_text(lines[k], found.get(k, []))) for k, _, _ in rows), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_whole_operator_against_brute_force(spark, seed):
+    pick = random.Random(seed)
+    rows = []
+    for k in range(60):
+        host = pick.choice("abc")
+        top = [f"Top of {host}", f"Menu of {host}", f"News of {host}"][: pick.randint(1, 3)]
+        if rows and pick.random() < 0.3:
+            body = pick.choice(rows)[2]
+        else:
+            body = [f"Line {k} {i} " + "word " * pick.randint(0, 12) for i in range(pick.randint(0, 5))]
+            if pick.random() < 0.2:
+                body[1:1] = ["<article>" + "".join(f"Inside {k}" for _ in range(pick.randint(1, 9))) + "</article>"]
+        rows.append((k, f"http://{host}.example/{pick.choice('xyz')}/{k:02d}", body, "".join(f"<p>{t}</p>" for t in [*top, *body, f"Imprint of {host}"])))
+    rows = [(k, url, page) for k, url, _, page in rows]
+    assert run(spark, rows) == plain_extract(rows)
+
+
 def test_edge_cases(spark):
     long = "<p>" + "many words " * 20_000 + "</p>"
     rows = [(1, None, "<p>a</p>"), (2, "http://h/1", None), (3, "http://h/2", ""), (4, "bad url", "<p>b</p>"), (None, "http://h/3", "<p>c</p>"),
