@@ -219,5 +219,4 @@ def against_next(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c) if i else pa.array(c, batch.column("id").type) for i, c in enumerate(zip(*done))], schema.names)
 
-    parts = max(2, len(cuts) + 1)
-    return copies.repartition(parts, "range").sortWithinPartitions(*order).select("range", "guest", "id", "said").mapInArrow(run, schema)
+    return copies.repartitionById(len(cuts) + 1, "range").sortWithinPartitions(*order).select("range", "guest", "id", "said").mapInArrow(run, schema)
