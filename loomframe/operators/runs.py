@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from loomframe.functions.numbers import INFINITY, format_duration, perplexity, safe_divide
 from loomframe.operators.joins import lookup
 from loomframe.operators.ordering import Running, row_index, running, trailing
+from loomframe.session import cut_lineage
 
 RUN, STEP = "run", "step"
+#: Values from here on are not averaged by running sums.
+LARGEST = 1e15
 _POS = "__pos"
 
 
@@ -53,19 +56,38 @@ def adaptive_smooth(log: DataFrame, metric: str = "grad_norm", max_window: int =
     """Smooth with a window that grows with the series: ``min(max_window, n // divisor)`` rows before.
 
     Rows without a value are left out and the others keep their own step. Series of ``min_rows`` or
-    fewer values are not smoothed.
+    fewer values are not smoothed. A mean is the difference of two running sums, so a row stays as wide
+    as it is whatever the window; sums are exact to 1e-6 and carry the rest as doubles. A window with a
+    value that is not finite or of ``LARGEST`` or more has no mean (not a number).
     """
-    known = log.where(F.col(metric).isNotNull())
-    sizes = known.groupBy(F.col(RUN).alias("__run")).agg(F.count(F.lit(1)).alias("__n"))
-    recent = _series(known, {"__recent": F.collect_list(metric)}, max_window + 1, order, rows)
-    sized = lookup(recent, sizes, RUN, "__run", rows=rows)
+    value = F.col(metric).cast("double")
+    sound = F.when(F.abs(value) < F.lit(LARGEST), value)
+    high = F.coalesce(sound, F.lit(0.0)).cast("decimal(28,6)")  # summed exactly; what is left is below 1e-6
+    known = log.where(value.isNotNull()).withColumns(
+        {"__high": high, "__low": F.coalesce(sound, F.lit(0.0)) - high.cast("double"), "__odd": F.when(sound.isNull(), value)}
+    )
+    sums = {
+        _POS: Running("sum", F.lit(1).cast("long"), current=False), "__highs": Running("sum", F.col("__high")),
+        "__lows": Running("sum", F.col("__low")), "__odds": Running("sum", F.col("__odd").isNotNull().cast("long")),
+    }
+    summed = cut_lineage(running(known, order, sums, [RUN], rows).drop("__high", "__low", "__odd"))
+    sizes = summed.groupBy(F.col(RUN).alias("__run")).agg(F.count(F.lit(1)).alias("__n"))
     window = F.least(F.lit(max_window).cast("long"), F.call_function("div", F.col("__n"), F.lit(divisor).cast("long")))
-    taken = F.least(F.size("__recent").cast("long"), window + 1).cast("int")
-    picked = F.slice("__recent", F.size("__recent") - taken + 1, taken)
-    mean = F.aggregate(picked, F.lit(0.0), lambda a, x: a + x) / taken
-    return sized.withColumn("smoothed", F.when((F.col("__n") > min_rows) & (window > 1), mean)).drop(
-        "__recent", "__run", "__n", _POS
+    sized = lookup(summed, sizes, RUN, "__run", rows=rows).withColumn("__window", F.when(F.col("__n") > min_rows, window))
+    # the sums up to the row before the window stand one window further on
+    before = sized.select(
+        F.col(RUN).alias("__run"), (F.col(_POS) + F.col("__window") + 1).alias("__at"),
+        *[F.col(c).alias(f"{c}_before") for c in ("__highs", "__lows", "__odds")],
     )
+    paired = sized.drop("__run").join(before, (F.col(RUN) == F.col("__run")) & (F.col(_POS) == F.col("__at")), "left")
+
+    def within(name: str) -> Column:
+        return F.col(name) - F.coalesce(F.col(f"{name}_before"), F.lit(0))
+
+    taken = F.least(F.col(_POS), F.col("__window")) + 1
+    mean = (within("__highs").cast("double") + within("__lows")) / taken
+    mean = F.when(within("__odds") > 0, F.lit(float("nan"))).otherwise(mean)
+    return paired.select(*log.columns, F.when(F.col("__window") > 1, mean).alias("smoothed"))
 
 
 def running_best(evals: DataFrame, metric: str = "val_loss", order: Sequence[str] = (STEP,),

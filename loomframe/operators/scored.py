@@ -11,6 +11,9 @@ from loomframe.operators.joins import lookup
 from loomframe.operators.ordering import Running, running
 from loomframe.session import cut_lineage
 
+#: Buckets of scores in which :func:`nucleus` adds up masses, and how many of them a difference of 1 is.
+SCORE_BUCKETS, SCORE_STEPS = 2048, 64
+
 
 def masked_loss(scored: DataFrame, batch_size: int, max_batches: int | None = None) -> DataFrame:
     """Evaluation loss of ``seq, pos, label, nll`` over all batches, or the first ``max_batches``.
@@ -60,18 +63,32 @@ def nucleus(logits: DataFrame, p: float, ctx: str = "ctx_id", item: str = "token
     """Keep the best items of each context until their probability exceeds ``p``.
 
     An item stays while the mass before it is at most ``p``, so the one that crosses the line stays.
+    Equal scores go by item. Masses are added up per context and bucket of scores first: whole buckets
+    stay or go by the mass before them, and only the items of the one bucket in which the line is
+    crossed are put in order.
     """
     peaks = logits.groupBy(F.col(ctx).alias("__c")).agg(F.max(score).alias("__peak"))
+    below = F.col("__peak") - F.col(score)
+    bucket = F.floor(F.least(below * F.lit(float(SCORE_STEPS)), F.lit(float(SCORE_BUCKETS - 1)))).cast("int")
     weighted = cut_lineage(
-        lookup(logits, peaks, ctx, "__c", rows=rows).drop("__c").withColumn("__w", F.exp(F.col(score) - F.col("__peak")))
+        lookup(logits, peaks, ctx, "__c", rows=rows).withColumns({"__w": F.exp(-below), "__bucket": F.coalesce(bucket, F.lit(SCORE_BUCKETS))})
+        .drop("__c", "__peak")
     )
-    masses = weighted.groupBy(F.col(ctx).alias("__c")).agg(F.sum("__w").alias("__mass"))
-    ranked = running(
-        weighted.withColumn("__down", -F.col(score)), ["__down", item],
-        {"__before": Running("sum", F.col("__w"), current=False)}, [ctx], rows,
+    masses = weighted.groupBy(F.col(ctx).alias("__c"), F.col("__bucket").alias("__b")).agg(F.sum("__w").alias("__m"))
+    down = Window.partitionBy("__c").orderBy("__b")  # at most SCORE_BUCKETS + 1 rows a context
+    masses = masses.withColumns({
+        "__mass": F.sum("__m").over(Window.partitionBy("__c")),
+        "__start": F.coalesce(F.sum("__m").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
+    }).where(F.col("__start") / F.col("__mass") <= p)
+    last = masses.withColumn("__crossed", F.lead("__b").over(down).isNull())
+    edge = cut_lineage(last.where("__crossed").select("__c", F.col("__b").alias("__edge"), "__start", "__mass"))
+    near = cut_lineage(lookup(weighted, edge, ctx, "__c", rows=rows).where(F.col("__bucket") <= F.col("__edge")).drop("__c"))
+    crossing = near.where(F.col("__bucket") == F.col("__edge")).withColumn("__down", -F.col(score))
+    ordered = running(crossing, ["__down", item], {"__before": Running("sum", F.col("__w"), current=False)}, [ctx], rows)
+    kept = near.where(F.col("__bucket") < F.col("__edge")).unionByName(
+        ordered.where((F.col("__start") + F.col("__before")) / F.col("__mass") <= p).drop("__down", "__before")
     )
-    kept = lookup(ranked, masses, ctx, "__c", rows=rows).where(F.col("__before") / F.col("__mass") <= p)
-    return kept.withColumn("prob", F.col("__w") / F.col("__mass")).drop("__c", "__w", "__peak", "__down", "__before", "__mass")
+    return kept.select(*logits.columns, (F.col("__w") / F.col("__mass")).alias("prob"))
 
 
 def unit_draw(*parts: Column, seed: int) -> Column:

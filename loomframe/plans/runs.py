@@ -12,7 +12,7 @@ from loomframe.plans.tables import (
     EVAL_SQL, LOG_SQL, TOKENS_PER_STEP, TOTAL_STEPS, eval_log, load, train_log,
 )
 from loomframe.plans.text import documents
-from loomframe.session import work_path
+from loomframe.session import cut_lineage, work_path
 from loomframe.sources import logs
 
 _LOG, _EVAL = f"WITH {LOG_SQL}", f"WITH {LOG_SQL}, {EVAL_SQL}"
@@ -153,17 +153,8 @@ def prompt_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("curve_overlay", f"""{_EVAL}
 SELECT l.run, l.step, l.loss, e.val_loss, round(e.val_perplexity, 3) AS val_perplexity
-FROM log l LEFT JOIN evals e ON e.run = l.run AND e.step = l.step AND e.step % 50 = 0""")
-def curve_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only every fiftieth step was evaluated."""
-    log = train_log(spark, sf_dir)
-    return runs.curve_overlay(log, runs.interval_rows(eval_log(log), 50)).select("run", "step", "loss", "val_loss", *rounded("val_perplexity", digits=3))
-
-
-@query("curve_overlay_all", f"""{_EVAL}
-SELECT l.run, l.step, l.loss, e.val_loss, round(e.val_perplexity, 3) AS val_perplexity
 FROM log l LEFT JOIN evals e ON e.run = l.run AND e.step = l.step""")
-def curve_overlay_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def curve_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every evaluation beside its training row."""
     log = train_log(spark, sf_dir)
     return runs.curve_overlay(log, eval_log(log)).select("run", "step", "loss", "val_loss", *rounded("val_perplexity", digits=3))
@@ -296,51 +287,35 @@ def metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(log.schema).parquet(path)
 
 
-@query("sample_sink", """
-SELECT split, epoch::INTEGER AS epoch, count(*) AS n, sum(position)::BIGINT AS position_sum FROM (
-  SELECT CASE WHEN ('0x' || substr(md5(text), 1, 8))::BIGINT % 10000 < 500 THEN 'validation' ELSE 'train' END AS split, epoch,
-         row_number() OVER (PARTITION BY epoch ORDER BY md5('0|' || epoch || '|' || doc_id), doc_id) - 1 AS position
-  FROM documents, (VALUES (1), (2)) e(epoch))
+_EPOCHS = [batching.epoch_sql("(SELECT doc_id, text FROM documents)", "doc_id", epoch, seed=0) for epoch in (1, 2)]
+
+
+@query("sample_sink", f"""
+SELECT split, epoch::INTEGER AS epoch, count(*) AS n, sum(position)::BIGINT AS position_sum, sum(position * (doc_id % 1000))::BIGINT AS order_sum FROM (
+  SELECT CASE WHEN ('0x' || substr(md5(text), 1, 8))::BIGINT % 10000 < 500 THEN 'validation' ELSE 'train' END AS split, epoch, position, doc_id
+  FROM (SELECT *, 1 AS epoch FROM {_EPOCHS[0]} UNION ALL SELECT *, 2 FROM {_EPOCHS[1]}))
 GROUP BY split, epoch""")
 def sample_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two epochs of shuffled documents, one written after the other, read back folder by folder."""
+    """Two epochs of shuffled documents from one numbering, one written after the other, read back folder by folder."""
     docs = documents(spark, sf_dir)
+    rows = docs.count()
     tagged = batching.holdout_split(docs, "text", 0.05).select("doc_id", "split")
-    path, rows = work_path(spark, "samples"), docs.count()
+    based = cut_lineage(batching.base_order(tagged, "doc_id", rows))
+    path = work_path(spark, "samples")
     for epoch in (1, 2):
-        logs.write_examples(batching.epoch_order(tagged, "doc_id", epoch=epoch, rows=rows), path, order="position")
+        logs.write_examples(batching.epoch_order(based, "doc_id", epoch=epoch, rows=rows, base="base").drop("base"), path, order="position")
     return spark.read.parquet(path).groupBy("split", "epoch").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("position").alias("position_sum")
+        F.count(F.lit(1)).alias("n"), F.sum("position").alias("position_sum"), F.sum(F.col("position") * (F.col("doc_id") % 1000)).alias("order_sum")
     )
 
 
-@query("run_report", f"""{_EVAL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM log),
-r AS (SELECT run, avg(loss) FILTER (WHERE step <= 100) AS h, avg(loss) FILTER (WHERE back <= 100) AS t, min(loss) AS lo,
-      max(tokens_seen) AS tokens, max(elapsed_sec) AS s FROM ranked GROUP BY run),
-b AS (SELECT run, min(val_loss) AS best FROM evals GROUP BY run),
-h AS (SELECT run, string_agg('| ' || step || ' | ' || printf('%.4f', round_even(val_loss, 4)) || ' | ' || printf('%.2f', round_even(val_perplexity, 2)) || ' |',
-      chr(10) ORDER BY step) AS lines FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM evals) WHERE back <= 50 GROUP BY run),
-p AS (SELECT run, string_agg('step ' || step || ': at ' || tokens_seen || ' -> ' || loss::BIGINT, chr(10) ORDER BY step) AS lines
-      FROM ranked WHERE back <= 5 GROUP BY run)
-SELECT r.run, concat_ws(chr(10), '| metric | value |', '|---|---|', '| head mean | ' || printf('%.4f', round_even(h, 4)) || ' |',
-  '| tail mean | ' || printf('%.4f', round_even(t, 4)) || ' |', '| min loss | ' || printf('%.4f', round_even(lo, 4)) || ' |',
-  '| best val loss | ' || printf('%.4f', round_even(best, 4)) || ' |', '| best perplexity | ' || printf('%.2f', round_even(exp(least(best, 20.0)), 2)) || ' |',
-  '| throughput | ' || printf('%.0f', round_even(tokens / s, 0)) || ' |', '| duration | ' || {_DURATION} || ' |', '', '| step | val loss | val perplexity |',
-  '|---|---|---|', h.lines, '', p.lines) AS report
-FROM r JOIN b USING (run) JOIN h USING (run) JOIN p USING (run)""")
-def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of each run with its last 50 evaluations; samples are stand-ins made from the log."""
-    log = train_log(spark, sf_dir)
-    evals = eval_log(log)
-    return runs.summary_text(runs.run_summary(log, evals), evals, _samples(log), last_evals=50)
-
-
 def _samples(log: DataFrame) -> DataFrame:
+    """Stand-ins for generated samples, made from the log."""
     prompt, text = F.concat(F.lit("at "), F.col("tokens_seen").cast("string")), F.round("loss").cast("long").cast("string")
     return log.select("run", "step", prompt.alias("prompt"), text.alias("text"))
 
 
-@query("run_report_lines", f"""{_EVAL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM log),
+@query("run_report", f"""{_EVAL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS back FROM log),
 r AS (SELECT run, avg(loss) FILTER (WHERE step <= 100) AS h, avg(loss) FILTER (WHERE back <= 100) AS t, min(loss) AS lo,
       max(tokens_seen) AS tokens, max(elapsed_sec) AS s FROM ranked GROUP BY run),
 b AS (SELECT run, min(val_loss) AS best, count(*) AS n FROM evals GROUP BY run)
@@ -353,7 +328,7 @@ UNION ALL SELECT run, 11 + row_number() OVER (PARTITION BY run ORDER BY step),
   '| ' || step || ' | ' || printf('%.4f', round_even(val_loss, 4)) || ' | ' || printf('%.2f', round_even(val_perplexity, 2)) || ' |' FROM evals
 UNION ALL SELECT run, 12 + n, '' FROM b
 UNION ALL SELECT run, 13 + n + least(5, n) - back, 'step ' || step || ': at ' || tokens_seen || ' -> ' || loss::BIGINT FROM ranked JOIN b USING (run) WHERE back <= 5""")
-def run_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report of each run as ordered rows, every evaluation among them."""
     log = train_log(spark, sf_dir)
     evals = eval_log(log)

@@ -284,18 +284,18 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return everything.select("source", "id", F.char_length("text").cast("long").alias("n_chars"))
 
 
-_SHUFFLED = "row_number() OVER (ORDER BY md5('7|2|' || doc_id), doc_id) - 1"
+_SHUFFLED = batching.epoch_sql("(SELECT doc_id FROM documents)", "doc_id", epoch=2, seed=7)
 
 
-@query("epoch_shuffle", f"SELECT doc_id, {_SHUFFLED} AS position, 2::INTEGER AS epoch FROM documents")
+@query("epoch_shuffle", f"SELECT doc_id, position, 2::INTEGER AS epoch FROM {_SHUFFLED}")
 def epoch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id")
     return batching.epoch_order(docs, "doc_id", epoch=2, seed=7, rows=docs.count())
 
 
 @query("make_batches", f"""
-SELECT doc_id, (p // 48)::BIGINT AS batch FROM (SELECT doc_id, {_SHUFFLED} AS p, count(*) OVER () AS n FROM documents)
-WHERE p < n - n % 48""")
+SELECT doc_id, (position // 48)::BIGINT AS batch FROM (SELECT *, count(*) OVER () AS n FROM {_SHUFFLED})
+WHERE position < n - n % 48""")
 def make_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = load(spark, sf_dir, "documents").count()
     return batching.make_batches(epoch_shuffle(spark, sf_dir), "position", 48, drop_last=True, total=total).select(

@@ -154,3 +154,18 @@ def test_lookup_splits_hot_keys_and_keeps_every_row(spark, tiny_ranges, how):
     a, b = spark.createDataFrame(left, "k string, i long"), spark.createDataFrame(right, "rk string, v string")
     want = sorted(tuple(r) for r in a.join(b, F.col("k") == F.col("rk"), how).select("i", "v").collect())
     assert sorted(tuple(r) for r in lookup(a, b, "k", "rk", how).select("i", "v").collect()) == want
+
+
+def test_lookup_spreads_equal_rows(spark):
+    from loomframe.operators import joins
+
+    same = spark.range(20_000).select(F.lit("hot").alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"), F.lit(20).alias("__salts"))
+    sizes = [r["count"] for r in joins._spread(same.repartition(3)).groupBy("__salt").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 1.1 * min(sizes)
+    spark.conf.set(ordering.ROWS_PER_RANGE_CONF, "1000")
+    try:
+        right = spark.createDataFrame([("hot", 1), ("x", 2)], "rk string, v int")
+        got = lookup(same.drop("__salts").union(spark.sql("SELECT 'x', map('b', 2)")), right, "k", "rk")
+        assert sorted(map(tuple, got.groupBy("v").count().collect())) == [(1, 20_000), (2, 1)] and got.columns == ["k", "m", "rk", "v"]
+    finally:
+        spark.conf.unset(ordering.ROWS_PER_RANGE_CONF)

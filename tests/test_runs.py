@@ -67,6 +67,19 @@ def test_adaptive_window(log, ranges):
     assert seen == len(got)
 
 
+def test_adaptive_window_of_values_that_do_not_add_up(spark, ranges):
+    values = [1e14 + 0.25, 1e-9, -1e14, 3.5, 1e300, 2.0, 2.5, float("nan"), 1.0, float("inf"), *[0.1] * 30]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "run string, step long, grad_norm double")
+    got = [r.smoothed for r in runs.adaptive_smooth(df, max_window=3).orderBy("step").collect()]
+    for i, value in enumerate(got):
+        part = values[max(0, i - 3) : i + 1]
+        odd = any(not abs(v) < 1e15 for v in part)
+        assert math.isnan(value) if odd else value == pytest.approx(math.fsum(part) / len(part), rel=1e-12, abs=1e-12)
+    assert got[-1] == pytest.approx(0.1, rel=1e-14)
+    flat = runs.adaptive_smooth(df)._jdf.queryExecution().toString()
+    assert "collect_list" not in flat
+
+
 def test_running_best(spark, ranges):
     rows = [("a", s, float(v)) for s, v in enumerate([5, 4, 4.5, 3, 3, 7, 2, 9, 1, 1, 0.5])]
     got = runs.running_best(spark.createDataFrame(rows, "run string, step long, val_loss double")).orderBy("step").collect()
@@ -205,5 +218,5 @@ def test_an_overlay_keeps_rows_without_an_evaluation(spark):
 def test_an_overlay_of_the_whole_table_has_all_evaluations(spark):
     import __spark_entry__ as entry
 
-    got = entry.queries()["curve_overlay_all"](spark, "/root/testdata/sf0.001")
+    got = entry.queries()["curve_overlay"](spark, "/root/testdata/sf0.001")
     assert got.where("val_loss is null").isEmpty() and not got.isEmpty()

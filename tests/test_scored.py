@@ -48,6 +48,35 @@ def test_nucleus_keeps_the_item_that_crosses(spark, ranges, p):
     assert all(0 < r.prob <= 1 for r in got)
 
 
+@pytest.mark.parametrize("p", [0.0, 0.3, 0.9])
+def test_nucleus_of_tied_and_far_scores(spark, ranges, p):
+    rows = [(0, t, 1.0) for t in range(40)] + [(0, 100 + t, -t * 10.0) for t in range(20)] + [(1, 5, -1000.0), (1, 6, -1000.0), (2, 1, 3.0)]
+    want = set()
+    for ctx, items in by_context(rows).items():
+        peak = max(v for v, _ in items)
+        mass, before = math.fsum(math.exp(v - peak) for v, _ in items), 0.0
+        for value, item in sorted(items, key=lambda e: (-e[0], e[1])):
+            if before / mass <= p:
+                want.add((ctx, item))
+            before += math.exp(value - peak)
+    got = scored.nucleus(spark.createDataFrame(rows, LOGITS).repartition(3), p).collect()
+    assert {(r.ctx_id, r.token_id) for r in got} == want
+
+
+def test_nucleus_puts_only_the_crossing_bucket_in_order(spark, monkeypatch):
+    seen = []
+
+    def counted(df, *args, **more):
+        seen.append(df.count())
+        return running(df, *args, **more)
+
+    running = scored.running
+    monkeypatch.setattr(scored, "running", counted)
+    rows = [(c, t, -t / 10) for c in range(3) for t in range(500)]
+    assert not scored.nucleus(spark.createDataFrame(rows, LOGITS), 0.9).isEmpty()
+    assert seen == [3]
+
+
 def test_draws_follow_the_weights_and_repeat(spark):
     rows = [(c, t, math.log(w)) for c in range(4000) for t, w in enumerate((0.6, 0.3, 0.1))]
     df = spark.createDataFrame(rows, LOGITS)
