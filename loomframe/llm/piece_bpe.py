@@ -4,7 +4,7 @@ The text is cut before each run of word marks, since no piece of such a vocabula
 another character, and at characters without a piece. What is left is encoded piece by piece: an
 Aho-Corasick automaton gives the leftmost longest pieces, neighbours are accepted if merging their
 joined text again gives just the two, and if not the last piece is replaced by its next shorter
-prefix, with one bit per position to remember where no encoding goes on. A sequence in which all
+prefix, with a field of flags to remember the positions where no encoding goes on. A sequence in which all
 neighbours pass is the encoding that merging the whole text would give.
 """
 
@@ -24,6 +24,10 @@ from pyspark.sql import types as T
 from loomframe.llm.common import Memo, slices
 
 MARK = "▁"
+#: Characters that the automaton is given at a time.
+WINDOW = 512
+#: Longer chunks are not remembered.
+MEMO_CHARS = 256
 
 
 class PieceModel:
@@ -50,6 +54,7 @@ class PieceModel:
         for piece in self.spelled:
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
+        self.longest = max(map(len, self.spelled))
         best_first = sorted((p for p in self.ids if len(p) > 1), key=lambda p: -self.scores[p])
         self.ranks = {piece: rank for rank, piece in enumerate(best_first)}
         self.line_ends = "\n" not in self.ids  # a line end has no piece: it separates chunks too
@@ -125,26 +130,34 @@ class PieceModel:
                 return True
 
     def backtrack(self, text: str) -> list[str]:
-        """Pieces of a text all of whose characters have one."""
-        find, fits = self.automaton.iter_long, self.fits
-        matches = find(text)  # leftmost longest pieces; as all characters are pieces, they leave no gap
-        open_at = (1 << (len(text) + 1)) - 1  # a bit is cleared where no encoding goes on
+        """Pieces of a text all of whose characters have one.
+
+        The automaton looks at a window at a time, so going back costs a window and not the text before or after.
+        """
+        find, fits, longest, size = self.automaton.iter_long, self.fits, self.longest, len(text)
+        window = max(WINDOW, 4 * longest)
+        failed = bytearray(size + 1)  # positions from which no encoding goes on
         taken: list[str] = []
-        at, last, candidate = 0, "", next(matches)[1]
+        at, last, sure, matches = 0, "", -1, None
+        candidate: str | None = None
         while True:
+            if candidate is None:
+                if matches is None or at > sure:
+                    # leftmost longest pieces; as all characters are pieces, they leave no gap
+                    matches = find(text[at : at + window] if size > window else text, 0 if size > window else at)
+                    sure = at + window - longest if at + window < size else size  # up to here a match is whole
+                candidate = next(matches)[1]
             end = at + len(candidate)
-            if open_at >> end & 1 and (not last or fits[last, candidate]):
+            if not failed[end] and (not last or fits[last, candidate]):
                 taken.append(candidate)
-                at, last = end, candidate
-                if at == len(text):
+                at, last, candidate = end, candidate, None
+                if at == size:
                     return taken
-                matches = matches or find(text, at)
-                candidate = next(matches)[1]
                 continue
             matches = None
             candidate = self.shorter[candidate]
             while candidate is None:
-                open_at &= ~(1 << at)
+                failed[at] = 1
                 last = taken.pop()
                 at -= len(last)
                 candidate = self.shorter[last]
@@ -187,7 +200,7 @@ class PieceModel:
             if line:
                 chunks += self._chunks(line.replace(" ", MARK))
         packed = self.packed
-        return np.frombuffer(b"".join([packed[chunk] for chunk in chunks]), np.int32)
+        return np.frombuffer(b"".join([packed[chunk] if len(chunk) <= MEMO_CHARS else self._packed(chunk) for chunk in chunks]), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         pieces = self.pieces

@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -36,6 +37,28 @@ def test_words_that_need_backtracking(library, own):
     assert [own.encode(w).tolist() for w in words] == library.encode(words)
 
 
+@pytest.mark.parametrize("window", [8, 512])
+def test_windows(library, own, monkeypatch, window):
+    monkeypatch.setattr(pb, "WINDOW", window)
+    pick = random.Random(4)
+    pieces = [p for p in own.spelled if p.isascii() and p.isalpha()]
+    words = ["".join(pick.choices(pieces, k=pick.randint(1, 400))) for _ in range(200)]
+    assert [own.encode(w).tolist() for w in words] == library.encode(words)
+
+
+def test_a_word_of_two_million_letters(library, own):
+    pick = random.Random(5)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "theing"):
+        times = []
+        for size in (200_000, 2_000_000):
+            word = "".join(pick.choices(letters, k=size))
+            began = time.process_time()
+            ids = own.encode(word)
+            times.append(time.process_time() - began)
+            assert ids.tolist() == library.encode(word)
+        assert times[1] < 25 * times[0]  # ten times the letters
+
+
 def test_pairs_fit_as_merging_says(own):
     pick = random.Random(3)
     pieces = sorted(p for p in own.spelled if p not in own.tied)
