@@ -59,18 +59,45 @@ def test_edge_cases(spark):
     assert sorted(map(tuple, rc.near_duplicates(null).collect()), key=repr) == [(2, 0, 2, True), (None, 0, None, True)]
 
 
-def test_estimates_are_unbiased_and_bounded():
+def unit_rows(rng, count, dim):
+    x = rng.normal(size=(count, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("dim", [8, 64, 100, 768])
+def test_estimates_are_unbiased_and_bounded(dim):
     rng = np.random.default_rng(5)
-    x = rng.normal(size=(400, 64))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    y = x + rng.normal(0, 0.04, x.shape)
+    x = unit_rows(rng, 400, dim)
+    y = x + rng.normal(0, 0.3 / math.sqrt(dim), x.shape)
     y /= np.linalg.norm(y, axis=1, keepdims=True)
-    signs, factors = rc.codes(x)
-    estimate, reach = rc.bounds(signs, factors, y @ rc.rotation(0, 64))
-    error = estimate - x @ y.T
-    assert abs(error.mean()) < 0.002
-    assert (np.abs(error) <= reach[:, None]).mean() > 0.999
-    assert (np.abs(np.diag(error)) <= reach).all()
+    a, b = (np.repeat(np.arange(400), 400), np.tile(np.arange(400), 400))
+    mine, theirs = rc.codes(x), rc.codes(y)
+    size = max(dim, rc.LEAST_BITS)
+    assert mine.signs.shape == (400, -(-size // 64)) and mine.signs.dtype == np.uint64
+    estimate, reach = rc.bounds(size, mine.signs[a], mine.factors[a], theirs.planes[b], theirs.low[b], theirs.step[b])
+    error = estimate - (x @ y.T)[a, b]
+    assert abs(error.mean()) < 0.003
+    assert (np.abs(error) <= reach).mean() > 0.999
+    assert (np.abs(error[a == b]) <= reach[a == b]).all()
+
+
+def test_buckets_carry_codes_and_not_vectors(spark):
+    vectors = unit_rows(np.random.default_rng(1), 50, 768)
+    rows = [(f"768:{i % 2}", i, 1, 2, 3, bytearray(v.tobytes())) for i, v in enumerate(vectors)]
+    got = rc._bucketed(spark.createDataFrame(rows, "group string, first long, many long, bits int, tables int, vec binary")).collect()
+    assert len(got) == 150
+    assert all(len(r["signs"]) == 768 // 8 and len(r["planes"]) == 4 * 768 // 8 for r in got)
+
+
+def test_only_vectors_with_a_pair_in_reach_are_fetched(spark):
+    rng = np.random.default_rng(2)
+    x = unit_rows(rng, 300, 256)
+    x[1] = x[0] + rng.normal(0, 0.01, 256)
+    rows = [("256:1", i, 1, 1, 1, bytearray(v.tobytes())) for i, v in enumerate(x)]
+    coded = rc._bucketed(spark.createDataFrame(rows, "group string, first long, many long, bits int, tables int, vec binary"))
+    units = coded.selectExpr("*", "1L AS one", "0 AS tile", "0 AS low", "0 AS high").drop("bucket").withColumnRenamed("one", "bucket")
+    got = {r["first"] for r in rc._involved(units, 0.93).collect()}
+    assert {0, 1} <= got and len(got) < 10
 
 
 def test_shape_grows_slowly():
