@@ -2,9 +2,10 @@
 
 All of it is DataFrame expressions. Statistics come from one pass over a text, without a shuffle.
 For each language and source, the scatter of transformed statistics is estimated from the part of
-the rows with the smallest covariance determinant: concentration steps start from medians and
-quartiles and repeat mean, covariance and distance of the closest rows. Only counts per histogram
-bin and sums per group are shuffled, whatever the size of a group.
+the rows with the smallest covariance determinant. Concentration steps (mean, covariance and distances of
+the closest rows) run from several starts; the start whose determinant is least after a few steps goes on
+until its determinant no longer falls. Only counts per histogram bin and sums per group are shuffled,
+whatever the size of a group.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 
 #: Share of a group's rows that the determinant is minimised over.
 CORE = 0.75
-#: Concentration steps.
-STEPS = 3
+#: Concentration steps from every start, after which the best start of a group goes on alone.
+FIRST_STEPS = 2
+#: A determinant falls if its logarithm does so by this much. Steps end when none falls, and at the latest after so many.
+LEAST_FALL, MOST_STEPS = 1e-4, 30
 #: Smallest spread of each transformed statistic: below it, differences say nothing about quality.
 LEAST_SPREAD = (0.12, 0.08, 0.12, 0.10)
 #: Groups with fewer rows share the estimate of their language, and languages with fewer that of all.
@@ -74,8 +77,12 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
         same = [word(one + i) == word(two + i) for i in range(3)]
         return F.coalesce((a - one == b - two) & same[0] & same[1] & same[2], F.lit(False))
 
+    # each key against the next: whether the two windows are equal
+    later = F.slice("__keys", F.lit(2), F.greatest(F.size("__keys") - 1, F.lit(0)))
+    sorted_keys = sorted_keys.withColumn("__next", F.zip_with("__keys", later, equal))
+
     def neighbour(k: Column, i: Column) -> Column:
-        return equal(k, F.get("__keys", i + 1)) | equal(k, F.get("__keys", i - 1))
+        return F.get("__next", i) | F.coalesce(F.get("__next", i - 1), F.lit(False))
 
     places = F.sort_array(F.transform(F.filter("__keys", neighbour), place))
     repeated = sorted_keys.withColumn("__places", F.coalesce(places, F.array().cast("array<bigint>")))
@@ -136,7 +143,7 @@ def _distance(df: DataFrame) -> Column:
 
 
 def _factor(moments: DataFrame) -> DataFrame:
-    """Mean and lower Cholesky factor of the covariance from sums, one column per entry."""
+    """Mean, lower Cholesky factor of the covariance from sums, one column per entry, and ``logdet`` from its diagonal."""
     size = range(len(_X))
     out = moments.withColumns({f"__m{i}": F.round(F.col(f"__s{i}") / F.col("__n"), 9) for i in size})
     for i in size:
@@ -148,16 +155,40 @@ def _factor(moments: DataFrame) -> DataFrame:
             entry = F.sqrt(F.greatest(value, F.lit(LEAST_SPREAD[i] ** 2 / 4))) if i == j else value / F.col(f"__l{j}_{j}")
             out = out.withColumn(f"__l{i}_{j}", entry)
     entries = [F.col(f"__l{i}_{j}") if j <= i else F.lit(0.0) for i in size for j in size]
-    return out.select("g", F.array(*[F.col(f"__m{i}") for i in size]).alias("m"), F.array(*entries).alias("l"))
+    logdet = sum((F.log(F.col(f"__l{i}_{i}")) for i in size), F.lit(0.0)) * 2
+    return out.select(
+        "g", "start", F.array(*[F.col(f"__m{i}") for i in size]).alias("m"), F.array(*entries).alias("l"), F.round(logdet, 9).alias("logdet")
+    )
+
+
+def _starts(quartiles: DataFrame) -> DataFrame:
+    """Where concentration starts: at the medians with the spread of the quartiles, and at the medians, the lower and the
+    upper quartiles with the least spread. A cluster that moves medians or widens quartiles misleads some of these only."""
+    size = range(len(_X))
+
+    def at(quartile: int) -> Column:
+        return F.array(*[F.max(F.when(F.col("x") == i, (F.col(f"q{quartile}") + 0.5) / 100)) for i in size])
+
+    wide = [F.max(F.when(F.col("x") == i, F.greatest((F.col("q2") - F.col("q0")) / 134.9, F.lit(LEAST_SPREAD[i])))) for i in size]
+    least = [F.lit(x) for x in LEAST_SPREAD]
+
+    def diagonal(spread: list[Column]) -> Column:
+        return F.array(*[spread[i] if i == j else F.lit(0.0) for i in size for j in size])
+
+    starts = [(at(1), diagonal(wide)), (at(1), diagonal(least)), (at(0), diagonal(least)), (at(2), diagonal(least))]
+    found = quartiles.groupBy("g").agg(*[c.alias(f"{n}{i}") for i, pair in enumerate(starts) for n, c in zip("ml", pair)])
+    each = F.array(*[F.struct(F.lit(i).alias("start"), F.col(f"m{i}").alias("m"), F.col(f"l{i}").alias("l")) for i in range(len(starts))])
+    return found.select("g", F.explode(each).alias("of")).select("g", "of.start", "of.m", "of.l")
 
 
 def fit(stats: DataFrame, groups: list[str]) -> DataFrame:
-    """Estimates per group: key ``g``, mean ``m``, Cholesky factor ``l`` and the cut of the distance.
+    """Estimates per group: key ``g``, mean ``m``, Cholesky factor ``l``, ``logdet`` and the cut of the distance.
 
     ``stats`` holds the statistics and the group columns, language first; it is read several times,
     so pass a written table. Rows that fail the base rules take no part. A null group value is a
     group like any other. Every group has an estimate of its own from ``LEAST_ROWS`` rows on; there
-    is also one for each language (key of the language alone) and one for all rows (``"all"``).
+    is also one for each language (key of the language alone) and one for all rows (``"all"``). Of the
+    estimates met on the way, a group has the one with the least determinant.
     """
     rows = _with_vector(stats.where(~base_failed()), groups).select("__fine", "__wide", *_X)
     counts = rows.groupBy("__fine", "__wide").agg(F.count(F.lit(1)).alias("n"))
@@ -170,36 +201,42 @@ def fit(stats: DataFrame, groups: list[str]) -> DataFrame:
     cells = members.select("g", F.posexplode(F.array(*[F.floor(F.col(x) * 100).cast("int") for x in _X])).alias("x", "bin"))
     cells = cut_lineage(cells.groupBy("g", "x", "bin").agg(F.count(F.lit(1)).alias("n")))
     low, mid, high = (_at_share(cells, q, ["g", "x"]).withColumnRenamed("at", f"q{i}") for i, q in enumerate((0.25, 0.5, 0.75)))
-    quartiles = low.join(mid, ["g", "x"]).join(high, ["g", "x"])
-    start = quartiles.groupBy("g").agg(
-        *[F.max(F.when(F.col("x") == i, (F.col("q1") + 0.5) / 100)).alias(f"m{i}") for i in range(len(_X))],
-        *[
-            F.max(F.when(F.col("x") == i, F.greatest((F.col("q2") - F.col("q0")) / 134.9, F.lit(LEAST_SPREAD[i])))).alias(f"l{i}")
-            for i in range(len(_X))
-        ],
-    )
+    estimate = cut_lineage(_starts(low.join(mid, ["g", "x"]).join(high, ["g", "x"])))
     size = range(len(_X))
-    diagonal = [F.col(f"l{i}") if i == j else F.lit(0.0) for i in size for j in size]
-    estimate = cut_lineage(start.select("g", F.array(*[F.col(f"m{i}") for i in size]).alias("m"), F.array(*diagonal).alias("l")))
 
     def measured(estimate: DataFrame) -> DataFrame:
         found = members.join(estimate, "g")
-        return found.withColumn("d", _distance(found)).withColumn("bin", F.floor(32 * F.log2(F.col("d") + 1e-6)).cast("int"))
+        return found.withColumn("bin", F.floor(32 * F.log2(_distance(found) + 1e-6)).cast("int"))
 
     def histogram(estimate: DataFrame) -> DataFrame:
-        return cut_lineage(measured(estimate).groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n")))
+        return cut_lineage(measured(estimate).groupBy("g", "start", "bin").agg(F.count(F.lit(1)).alias("n")))
 
-    for _ in range(STEPS):
-        core = cut_lineage(_at_share(histogram(estimate), CORE, ["g"]))
-        chosen = measured(estimate).join(core, "g").where(F.col("bin") <= F.col("at"))
+    def concentrated(estimate: DataFrame) -> DataFrame:
+        core = _at_share(histogram(estimate), CORE, ["g", "start"])
+        within = cut_lineage(estimate.join(core, ["g", "start"]).select("g", "start", "m", "l", "at"))
+        chosen = measured(within).where(F.col("bin") <= F.col("at"))
         sums = [F.sum(F.col(_X[i])).alias(f"__s{i}") for i in size]
         products = [F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"__s{i}_{j}") for i in size for j in range(i + 1)]
-        estimate = cut_lineage(_factor(chosen.groupBy("g").agg(F.count(F.lit(1)).alias("__n"), *sums, *products)))
+        return cut_lineage(_factor(chosen.groupBy("g", "start").agg(F.count(F.lit(1)).alias("__n"), *sums, *products)))
+
+    for _ in range(FIRST_STEPS):
+        estimate = concentrated(estimate)
+    best = cut_lineage(
+        estimate.groupBy("g").agg(F.min_by(F.struct("start", "m", "l", "logdet"), F.struct("logdet", "start")).alias("of")).select("g", "of.*")
+    )
+    falling = best
+    for _ in range(MOST_STEPS):
+        after = concentrated(falling)
+        lower = after.join(best.select("g", F.col("logdet").alias("__before")), "g").where(F.col("logdet") < F.col("__before") - LEAST_FALL)
+        falling = cut_lineage(lower.drop("__before"))
+        if falling.isEmpty():
+            break
+        best = cut_lineage(best.join(falling, "g", "left_anti").unionByName(falling.select(best.columns)))
 
     # the core is narrower than the whole: bring the median distance to where it is for a normal distribution
-    middle = _at_share(histogram(estimate), 0.5, ["g"])
+    middle = _at_share(histogram(best), 0.5, ["g"])
     scale = F.greatest(F.pow(F.lit(2.0), (F.col("at") + 1) / 32.0) / MEDIAN_4, F.lit(1.0))
-    return cut_lineage(estimate.join(middle, "g").select("g", "m", "l", (scale * CUT_4).alias("cut")))
+    return cut_lineage(best.join(middle, "g").select("g", "m", "l", "logdet", (scale * CUT_4).alias("cut")))
 
 
 def judge(df: DataFrame, estimates: DataFrame, groups: list[str]) -> DataFrame:
@@ -218,7 +255,7 @@ def judge(df: DataFrame, estimates: DataFrame, groups: list[str]) -> DataFrame:
         keys = keys.join(known.select(F.col("g").alias(key), F.col("__known").alias(name)), key, "left")
     used = F.when(F.col("__has_fine"), F.col("__fine")).when(F.col("__has_wide"), F.col("__wide")).otherwise("all")
     # written, so that Spark knows its size and leaves the rows where they are as long as it is small
-    own = cut_lineage(keys.select("__fine", used.alias("g")).join(estimates, "g", "left").drop("g"))
+    own = cut_lineage(keys.select("__fine", used.alias("g")).join(estimates.drop("logdet"), "g", "left").drop("g"))
     found = rows.join(own, "__fine", "left")
     distance = F.when(~base_failed(), _distance(found) / F.col("cut"))
     return found.select(

@@ -64,26 +64,44 @@ def at_share(bins, share):
     return bins[math.ceil(share * len(bins) - 1e-9) - 1]
 
 
-def estimate(x):
-    """Minimum covariance determinant of one group, in numpy."""
-    low, mid, high = ([at_share([math.floor(v * 100) for v in x[:, i]], q) for i in range(4)] for q in (0.25, 0.5, 0.75))
+def run_of(x, mean, scatter, steps):
+    """Concentration steps from one start: mean, scatter and logarithm of the determinant after each."""
+    found = []
+    for _ in range(steps):
+        b = bins(x, mean, scatter)
+        core = x[b <= at_share(b.tolist(), ol.CORE)]
+        mean = core.mean(0)
+        scatter = (core - mean).T @ (core - mean) / len(core) + np.diag(np.array(ol.LEAST_SPREAD) ** 2)
+        found.append((mean, scatter, np.linalg.slogdet(scatter)[1]))
+    return found
+
+
+def bins(x, mean, scatter):
+    z = x - mean
+    return np.floor(32 * np.log2((z @ np.linalg.inv(scatter) * z).sum(1) + 1e-6)).astype(int)
+
+
+def starts(x):
+    low, mid, high = (np.array([at_share([math.floor(v * 100) for v in x[:, i]], q) for i in range(4)]) for q in (0.25, 0.5, 0.75))
     spread = np.array(ol.LEAST_SPREAD)
-    mean = (np.array(mid) + 0.5) / 100
-    scatter = np.diag(np.maximum((np.array(high) - np.array(low)) / 134.9, spread) ** 2)
+    wide = np.maximum((high - low) / 134.9, spread)
+    return [((at + 0.5) / 100, np.diag(s**2)) for at, s in ((mid, wide), (mid, spread), (low, spread), (high, spread))]
 
-    def distances():
-        z = x - mean
-        return (z @ np.linalg.inv(scatter) * z).sum(1)
 
-    def bins():
-        return np.floor(32 * np.log2(distances() + 1e-6)).astype(int)
+def best_of(x, some=None):
+    """Minimum covariance determinant of one group, in numpy."""
+    ends = [run_of(x, *start, ol.FIRST_STEPS)[-1] for start in (some or starts(x))]
+    best = min(ends, key=lambda e: e[2])
+    for mean, scatter, logdet in run_of(x, *best[:2], ol.MOST_STEPS):
+        if not logdet < best[2] - ol.LEAST_FALL:
+            break
+        best = mean, scatter, logdet
+    return best
 
-    for _ in range(ol.STEPS):
-        b = bins()
-        core = x[b <= at_share(b.tolist(), ol.CORE)]
-        mean = core.mean(0)
-        scatter = (core - mean).T @ (core - mean) / len(core) + np.diag(spread**2)
-    middle = at_share(bins().tolist(), 0.5)
+
+def estimate(x):
+    mean, scatter, _ = best_of(x)
+    middle = at_share(bins(x, mean, scatter).tolist(), 0.5)
     cut = max(2 ** ((middle + 1) / 32) / ol.MEDIAN_4, 1) * ol.CUT_4
     return lambda v: ((v - mean) @ np.linalg.inv(scatter) @ (v - mean)) / cut
 
@@ -115,6 +133,34 @@ def test_verdicts_against_numpy(spark, monkeypatch):
     assert rejected > 10
 
 
+def masked(rng, clean=420, far=138):
+    """A tight cluster of nearly a quarter of the rows: a start at the upper quartiles is caught by it."""
+    good = np.column_stack([rng.normal(at, 0.15, clean) for at in (1.6, 0.5, 0.4, 0.3)])
+    bad = np.column_stack([rng.normal(at, sd, far) for at, sd in ((2.4, 0.02), (1.3, 0.02), (0.8, 0.02), (0.57, 0.01))])
+    return np.abs(np.vstack([good, bad])), clean
+
+
+def counts_of(v, k):
+    """Statistics of a document that has about this vector."""
+    n = 400
+    return (k, "en", "s", n, round(math.expm1(v[0]) * n), round(v[1] ** 2 * n), round((v[2] * 2) ** 2 * math.sqrt(n)), min(190, round(v[3] ** 2 * n)))
+
+
+def test_several_starts_find_a_masked_cluster(spark):
+    names = ["doc_id", "lang", "source", *ol.STATISTICS]
+    for seed in range(2):
+        x, clean = masked(np.random.default_rng(seed))
+        rows = [counts_of(v, k) for k, v in enumerate(x)]
+        exact = np.array([vector(r[3:]) for r in rows])
+        alone = [best_of(exact, [start])[2] for start in starts(exact)]
+        assert max(alone) > min(alone) + 0.5  # a start fails alone
+        stats = ol.cut_lineage(spark.createDataFrame(rows, ", ".join(f"{n} {'string' if n in GROUPS else 'long'}" for n in names)))
+        found = ol.fit(stats, GROUPS)
+        assert found.where("g = 'all'").first()["logdet"] == pytest.approx(min(alone), abs=0.05)
+        verdicts = {r["doc_id"]: r["kept"] for r in ol.judge(stats, found, GROUPS).collect()}
+        assert sum(verdicts[k] for k in range(clean)) > 0.98 * clean and not any(verdicts[k] for k in range(clean, len(rows)))
+
+
 def test_small_empty_and_clashing_tables(spark):
     few = spark.createDataFrame([(1, "a b c " * 30, "en", "s", 5), (2, None, None, None, 6), (2, None, None, None, 6)], SCHEMA + ", n_words int")
     stats = ol.cut_lineage(ol.statistics(few))
