@@ -269,7 +269,7 @@ def jsonl_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = load(spark, sf_dir, "events").where("event_id % 100 = 0").select(F.concat(F.lit("not json "), "event_id").alias("value"))
     logs.to_jsonl(rows).unionByName(broken).write.text(path)
     train, evals, rejects = logs.split_jsonl(logs.read_jsonl(spark, path))
-    user = F.col("extra")["user"].alias("user")
+    user = F.col("extra")["user"].cast("string").alias("user")
     nothing = F.lit(None).cast("string").alias("broken")
     return (
         train.select(F.lit("train").alias("kind"), "step", "loss", "epoch", user, nothing)
@@ -280,11 +280,11 @@ def jsonl_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("metrics_append", f"{_LOG} SELECT run, step, loss FROM log")
 def metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends to one table, read back."""
+    """Two batches appended to one table, one of them delivered twice, read back."""
     log, path = train_log(spark, sf_dir).select("run", "step", "loss"), work_path(spark, "append")
-    for rest in (0, 1):
-        logs.append_table(log.where(F.col("step") % 2 == rest), path)
-    return spark.read.schema(log.schema).parquet(path)
+    for rest in (0, 1, 0):
+        logs.append_table(log.where(F.col("step") % 2 == rest), path, batch=str(rest))
+    return logs.read_table(spark, path, log.schema)
 
 
 _EPOCHS = [batching.epoch_sql("(SELECT doc_id, text FROM documents)", "doc_id", epoch, seed=0) for epoch in (1, 2)]

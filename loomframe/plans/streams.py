@@ -9,14 +9,12 @@ from loomframe.functions.text import drop_blank
 from loomframe.operators.packing import shift
 from loomframe.operators.tokens import BYTES
 from loomframe.plans.registry import query
-from loomframe.plans.tables import BLOCK, SQL_SPACE, TOKENS_PER_STEP, TOKENS_SQL, load
-from loomframe.plans.text import block_digest, total, weighted_total
+from loomframe.plans.tables import BLOCK, TOKENS_PER_STEP, TOKENS_SQL, load
+from loomframe.plans.text import block_digest, blocks_sql, total, weighted_total
 from loomframe.session import work_path
 from loomframe.sources.corpus import read_corpus, read_stream
 from loomframe.streaming.metrics import LiveMetrics
-from loomframe.streaming.pack import encode_stream, pack_stream, run_to_files
-
-SHARDS = 8
+from loomframe.streaming.pack import StreamPacker, encode_stream, run_to_files
 
 
 def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,60 +36,42 @@ def stream_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sharded_sql(block: int, limit: str = "") -> str:
-    return f"""
-WITH docs AS (SELECT doc_id, text, doc_id % {SHARDS} AS shard FROM documents WHERE regexp_matches(text, '[^{SQL_SPACE}]')),
-offsets AS (SELECT *, octet_length(encode(text)) + 1 AS n,
-  sum(octet_length(encode(text)) + 1) OVER (PARTITION BY shard ORDER BY doc_id) - octet_length(encode(text)) - 1 AS start FROM docs),
-tokens AS (
-  SELECT shard, start + i AS loc, tok FROM (
-    SELECT shard, start, unnest(range(n)) AS i,
-      unnest(list_append(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::INTEGER), 256)) AS tok FROM offsets))
-SELECT shard, b AS block_id, max(CASE WHEN p = 0 THEN tok END) AS x_first, max(CASE WHEN p = {block} THEN tok END) AS y_last,
-       sum(CASE WHEN p < {block} THEN tok * p ELSE 0 END)::BIGINT AS x_dot, sum(CASE WHEN p > 0 THEN tok * (p - 1) ELSE 0 END)::BIGINT AS y_dot
-FROM (SELECT shard, (loc // {block})::BIGINT AS b, (loc % {block})::BIGINT AS p, tok FROM tokens
-      UNION ALL SELECT shard, (loc // {block} - 1)::BIGINT, {block}::BIGINT, tok FROM tokens WHERE loc % {block} = 0 AND loc > 0)
-GROUP BY shard, b HAVING count(*) = {block} + 1 {limit}"""
-
-
-def packed_stream(spark: SparkSession, sf_dir: str, block: int, max_tokens: int | None) -> DataFrame:
-    path = work_path(spark, "stream-pack")
-    docs = drop_blank(document_stream(spark, sf_dir), "text")
+def packer(spark: SparkSession, name: str, block: int = BLOCK, max_tokens: int | None = None) -> StreamPacker:
     tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
-    run_to_files(pack_stream(docs, "doc_id", tokens, BYTES, F.col("doc_id") % SHARDS, block, max_tokens), path)
-    return block_sums(spark, path, block)
+    count = BYTES.text_count(F.col("text")) + 1
+    return StreamPacker(work_path(spark, name), "doc_id", tokens, count, BYTES, block=block, max_tokens=max_tokens)
 
 
-def block_sums(spark: SparkSession, path: str, block: int) -> DataFrame:
-    chunks = spark.read.schema("shard long, block_id long, chunk binary").parquet(f"{path}/rows")
-    return shift(chunks, BYTES, block).select(
-        "shard", "block_id", F.get("x", F.lit(0)).alias("x_first"), F.element_at("y", -1).alias("y_last"),
-        weighted_total(F.col("x")).alias("x_dot"), weighted_total(F.col("y")).alias("y_dot"),
-    )
+def digest(spark: SparkSession, packed: StreamPacker) -> DataFrame:
+    return block_digest(shift(packed.blocks(spark), BYTES, packed.block))
 
 
-@query("stream_pack", sharded_sql(BLOCK))
+@query("stream_pack", f"WITH {TOKENS_SQL}" + blocks_sql("tokens", BLOCK))
 def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_stream(spark, sf_dir, BLOCK, None)
+    """One order over all files, in one micro-batch."""
+    packed = packer(spark, "stream-pack")
+    packed.run(drop_blank(document_stream(spark, sf_dir), "text"))
+    return digest(spark, packed)
 
 
-@query("stream_resume", sharded_sql(BLOCK))
+@query("stream_resume", f"WITH {TOKENS_SQL}" + blocks_sql("tokens", BLOCK))
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents are packed, the stream stops, the other half arrives, and it goes on."""
-    path, docs = work_path(spark, "stream-resume"), load(spark, sf_dir, "documents")
+    packed, docs = packer(spark, "stream-resume"), load(spark, sf_dir, "documents")
+    arriving = work_path(spark, "stream-arrivals")
     half = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
-    tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
     for part in (F.col("doc_id") <= half, F.col("doc_id") > half):
-        docs.where(part).write.mode("append").parquet(f"{path}/in")
-        arrived = drop_blank(read_corpus(spark, f"{path}/in", streaming_schema=docs.schema), "text")
-        run_to_files(pack_stream(arrived, "doc_id", tokens, BYTES, F.col("doc_id") % SHARDS, BLOCK), path)
-    return block_sums(spark, path, BLOCK)
+        docs.where(part).write.mode("append").parquet(arriving)
+        packed.run(drop_blank(read_corpus(spark, arriving, streaming_schema=docs.schema), "text"))
+    return digest(spark, packed)
 
 
-@query("stream_budget", sharded_sql(256, "AND b < 40"))
+@query("stream_budget", f"WITH {TOKENS_SQL}" + blocks_sql("tokens", 256, "AND b < 320"))
 def stream_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packing that stops at a token budget per shard."""
-    return packed_stream(spark, sf_dir, 256, 40 * 256)
+    """Packing that stops at a token budget."""
+    packed = packer(spark, "stream-budget", 256, 320 * 256)
+    packed.run(drop_blank(document_stream(spark, sf_dir), "text"))
+    return digest(spark, packed)
 
 
 @query("stream_metrics", f"""

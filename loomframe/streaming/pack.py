@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-import heapq
-import pickle
-import tempfile
-from collections.abc import Iterable, Iterator
-from functools import partial
-from typing import IO
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomframe.functions.text import drop_blank
-from loomframe.operators.packing import block_budget
+from loomframe.operators.joins import lookup
+from loomframe.operators.packing import block_budget, spans, token_offsets
 from loomframe.operators.tokens import ByteCarrier, Carrier, encode_bytes
 
 
@@ -25,120 +16,68 @@ def encode_stream(docs: DataFrame, order: str, text: str) -> DataFrame:
     return drop_blank(docs, text).select(order, encode_bytes(F.col(text)).alias("tokens"))
 
 
-#: Bytes of tokens that are sorted in memory at a time, sorted runs that are merged at a time, and bytes cut into blocks at a time.
-RUN_BYTES, MAX_RUNS, CUT_BYTES = 32 << 20, 64, 4 << 20
-
-Row = tuple[tuple, bytes | np.ndarray]
-
-
-def _spool(rows: Iterable[Row]) -> IO[bytes]:
-    """Rows in a nameless temporary file, which ends with the process at the latest."""
-    file = tempfile.TemporaryFile()
-    for row in rows:
-        pickle.dump(row, file, pickle.HIGHEST_PROTOCOL)
-    file.seek(0)
-    return file
-
-
-def _load(file: IO[bytes]) -> Iterator[Row]:
-    with file:
-        while True:
-            try:
-                yield pickle.load(file)
-            except EOFError:
-                return
-
-
-def _merge(runs: Iterable[Iterable[Row]]) -> Iterator[Row]:
-    return heapq.merge(*runs, key=lambda row: row[0])
-
-
-def _in_order(chunks: Iterable[pd.DataFrame], order: str) -> Iterator[bytes | np.ndarray]:
-    """Tokens of all rows by ``order``: sorted runs in files, merged, so memory does not grow with the rows."""
-    levels: list[list[IO[bytes]]] = []
-    rows: list[Row] = []
-    size = 0
-
-    def keep(run: Iterable[Row], level: int = 0) -> None:
-        if level == len(levels):
-            levels.append([])
-        levels[level].append(_spool(run))
-        if len(levels[level]) == MAX_RUNS:
-            full, levels[level] = levels[level], []
-            keep(_merge(map(_load, full)), level + 1)
-
-    for chunk in chunks:
-        for key, doc in zip(chunk[order], chunk["tokens"]):
-            rows.append(((True, 0) if pd.isna(key) else (False, key), doc))
-            size += len(doc) if isinstance(doc, bytes) else 8 * len(doc)
-            if size >= RUN_BYTES:
-                rows.sort(key=lambda row: row[0])
-                keep(rows)
-                rows, size = [], 0
-    rows.sort(key=lambda row: row[0])
-    runs = [_load(file) for level in levels for file in level]
-    for _, doc in _merge([*runs, rows]):
-        yield doc
-
-
-def _pack_shard(
-    key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, block: int, order: str, limit: int | None,
-    as_bytes: bool,
-) -> Iterator[pd.DataFrame]:
-    """Append a shard's new documents to what was left over and emit the blocks this completes, some at a time."""
-    left, next_block = state.get if state.exists else (b"" if as_bytes else [], 0)
-    size = max(CUT_BYTES if as_bytes else CUT_BYTES // 4, 2 * block)
-    parts, held = [left], len(left)
-
-    def cut() -> Iterator[pd.DataFrame]:
-        nonlocal parts, held, next_block
-        tokens = b"".join(parts) if as_bytes else np.concatenate([np.asarray(t, np.int32) for t in parts])
-        n = max((len(tokens) - 1) // block, 0)
-        emitted = n if limit is None else min(n, max(limit - next_block, 0))
-        if emitted:
-            yield pd.DataFrame(
-                {
-                    "shard": key[0],
-                    "block_id": np.arange(next_block, next_block + emitted),
-                    "chunk": [tokens[s : s + block + 1] for s in range(0, emitted * block, block)],
-                }
-            )
-        rest = tokens[n * block :] if limit is None or next_block + n < limit else tokens[:0]
-        parts, held, next_block = [rest], len(rest), int(next_block + n)
-
-    for doc in _in_order(chunks, order):
-        parts.append(doc)
-        held += len(doc)
-        if held >= size:
-            yield from cut()
-    yield from cut()
-    state.update((parts[0] if as_bytes else parts[0].tolist(), next_block))
-
-
-def pack_stream(
-    docs: DataFrame, order: str, tokens: Column, carrier: Carrier, shard: Column, block: int = 1024,
-    max_tokens: int | None = None,
-) -> DataFrame:
-    """``shard, block_id, chunk`` of a stream of token sequences, each shard packed on its own.
-
-    Chunks hold ``block + 1`` tokens in the carrier's form; ``shift`` reads ``x`` and ``y`` off them.
-    A shard keeps at most ``block`` tokens between micro-batches; within one its documents are sorted
-    in temporary files beyond ``RUN_BYTES`` and blocks are emitted as they fill. Choose the shard by a hash of the
-    order column: shards of even size, as many as there should be parallel packers. ``max_tokens``
-    is a budget per shard. Documents are taken in the order of their micro-batches, and by
-    ``order`` within one.
+class StreamPacker:
+    """Packs a stream of token sequences into ``shard, block_id, chunk``, going on where the last micro-batch ended.
+
+    A micro-batch is packed by the batch operators: lengths are sorted in key ranges whose token counts
+    are carried, so one shard, or the one order of a stream without shards, is spread over as many
+    tasks as it needs and none holds more than its share. What a micro-batch leaves over, fewer than
+    ``block + 1`` tokens a shard, is a row of its own in the batch's folder and the first piece of the
+    next one. A batch that is delivered again reads the same left-over and overwrites its own folder.
+
+    Documents are taken in the order of their micro-batches, and by ``order``, unique in a shard, within
+    one. Chunks hold ``block + 1`` tokens in the carrier's form; ``shift`` reads ``x`` and ``y`` off
+    them. ``max_tokens`` is a budget per shard. Rows with a null shard or order are left out.
     """
-    as_bytes = isinstance(carrier, ByteCarrier)
-    kind = "binary" if as_bytes else "array<int>"
-    pack = partial(_pack_shard, block=block, order=order, limit=block_budget(block, max_tokens), as_bytes=as_bytes)
-    return (
-        docs.select(shard.cast("long").alias("shard"), order, tokens.alias("tokens"))
-        .groupBy("shard")
-        .applyInPandasWithState(
-            pack, f"shard long, block_id long, chunk {kind}", f"buffer {kind}, next_block long", "append",
-            GroupStateTimeout.NoTimeout,
+
+    def __init__(
+        self, path: str, order: str, tokens: Column, count: Column, carrier: Carrier, shard: Column | None = None,
+        block: int = 1024, max_tokens: int | None = None,
+    ):
+        self.path, self.order, self.tokens, self.count, self.carrier = path, order, tokens, count, carrier
+        self.shard = F.lit(0) if shard is None else shard
+        self.block, self.limit = block, block_budget(block, max_tokens)
+        kind = "binary" if isinstance(carrier, ByteCarrier) else "array<int>"
+        self.schema = f"shard long, block_id long, chunk {kind}, done boolean"
+
+    def _left_over(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The last, unfinished block of each shard after a batch."""
+        if batch_id < 0:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/rows/batch={batch_id}").where("not done")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        left = self._left_over(batch.sparkSession, batch_id - 1)
+        docs = batch.withColumn("shard", self.shard.cast("long")).where(F.col("shard").isNotNull() & F.col(self.order).isNotNull())
+        total = docs.count()
+        offsets = token_offsets(docs, self.order, self.count, ("shard",), total)
+        # a batch counts its tokens and blocks from the left-over on, which begins block ``base``
+        held = self.carrier.count(F.col("chunk")).alias("held")
+        ends = left.select(F.col("shard").alias("__of"), F.col("block_id").alias("__base"), held)
+        zero = F.lit(0).cast("long")
+        offsets = lookup(offsets, ends, "shard", "__of", "left", rows=total).select(
+            "shard", self.order, "n", (F.col("start") + F.coalesce("held", zero)).alias("start"), F.coalesce("__base", zero).alias("base")
         )
-    )
+        if self.limit is not None:
+            offsets = offsets.where(F.col("start") + F.col("base") * self.block <= self.limit * self.block)
+        placed = docs.select("shard", self.order, self.tokens.alias("tokens")).join(offsets, ["shard", self.order])
+        first = left.select("shard", F.col("block_id").alias("base"), F.col("chunk").alias("tokens"), held.alias("n"), zero.alias("start"))
+        placed = placed.select("shard", "base", "tokens", "n", "start").unionByName(first)
+        cut = spans(placed, self.carrier, self.block, 1, "at", ("shard", "base")).withColumn("block_id", F.col("base") + F.col("at"))
+        done = self.carrier.count(F.col("chunk")) == self.block + 1
+        if self.limit is not None:  # what follows the last block only says that the budget is spent
+            cut, done = cut.where(F.col("block_id") <= self.limit), done & (F.col("block_id") < self.limit)
+        cut.select("shard", "block_id", "chunk", done.alias("done")).write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch_id}")
+
+    def run(self, stream: DataFrame) -> None:
+        """Process everything that is there and stop; a second call resumes where the first one ended."""
+        (
+            stream.writeStream.foreachBatch(self).option("checkpointLocation", f"{self.path}/_progress")
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+
+    def blocks(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(f"{self.path}/rows/batch=*").where("done").drop("done")
 
 
 def run_to_files(stream: DataFrame, path: str) -> None:

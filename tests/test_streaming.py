@@ -1,10 +1,6 @@
-import hashlib
 import os
 import random
-import tracemalloc
 
-import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,9 +9,8 @@ from loomframe.operators.packing import shift
 from loomframe.operators.runs import running_best, smooth_metric, step_throughput
 from loomframe.operators.tokens import BYTES, ArrayCarrier, encode_bytes
 from loomframe.sources.corpus import read_stream
-from loomframe.streaming import pack
 from loomframe.streaming.metrics import ROW_SCHEMA, LiveMetrics
-from loomframe.streaming.pack import encode_stream, pack_stream, run_to_files
+from loomframe.streaming.pack import StreamPacker, encode_stream, run_to_files
 from tests import models
 
 DOCS = "doc_id long, text string"
@@ -47,29 +42,42 @@ def expected(docs, shards, block, budget=None):
 
 
 @pytest.mark.parametrize("kind", ["bytes", "arrays"])
-@pytest.mark.parametrize("budget", [None, 40])
-def test_stream_packs_like_a_batch_and_resumes(spark, tmp_path, kind, budget):
+@pytest.mark.parametrize("budget, shards", [(None, 3), (40, 3), (None, 1), (100, 1)])
+def test_stream_packs_like_a_batch_and_resumes(spark, tmp_path, tiny_ranges, kind, budget, shards):
     docs, folder, out = texts(), str(tmp_path / "in"), str(tmp_path / "out")
     carrier = BYTES if kind == "bytes" else ArrayCarrier(models.END)
+    tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending()) if kind == "bytes" else F.col("ids")
+    packer = StreamPacker(out, "doc_id", tokens, carrier.count(tokens), carrier, F.col("doc_id") % 3 if shards > 1 else None, 16, budget)
 
-    def go():
-        stream = drop_blank(read_stream(spark, folder, spark.createDataFrame([], DOCS).schema), "text")
-        tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
-        if kind == "arrays":
-            stream, tokens = stream.withColumn("ids", encode_bytes(F.col("text"))), F.col("ids")
-        run_to_files(pack_stream(stream, "doc_id", tokens, carrier, F.col("doc_id") % 3, 16, budget), out)
+    def prepared(df):
+        df = drop_blank(df, "text")
+        return df if kind == "bytes" else df.withColumn("ids", encode_bytes(F.col("text")))
 
     rows = list(enumerate(docs))
-    add_file(spark, folder, "a", rows[:25], DOCS, 1)
-    add_file(spark, folder, "b", rows[25:30], DOCS, 2)
-    go()
-    add_file(spark, folder, "c", rows[30:], DOCS, 3)
-    go()
-    done = shift(spark.read.parquet(f"{out}/rows"), carrier, 16).collect()
-    assert {(r.shard, r.block_id): (r.x, r.y) for r in done} == expected(docs, 3, 16, budget)
+    for name, part, age in (("a", rows[:25], 1), ("b", rows[25:30], 2), ("c", rows[30:], 3)):
+        add_file(spark, folder, name, part, DOCS, age)
+        packer.run(prepared(read_stream(spark, folder, spark.createDataFrame([], DOCS).schema)))
+    packer(prepared(spark.createDataFrame(rows[30:], DOCS)), 2)  # a batch that is delivered again changes nothing
+    done = shift(packer.blocks(spark), carrier, 16).collect()
+    assert {(r.shard, r.block_id): (r.x, r.y) for r in done} == expected(docs, shards, 16, budget)
     assert len(done) == len({(r.shard, r.block_id) for r in done})
 
 
+def test_a_shard_is_spread_over_tasks(spark, tmp_path, tiny_ranges):
+    docs = [(k, "x" * 100) for k in range(400)]
+    tokens = BYTES.concat(BYTES.from_text(F.col("text")), BYTES.ending())
+    packer = StreamPacker(str(tmp_path / "out"), "doc_id", tokens, BYTES.count(tokens), BYTES, block=64)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        packer(spark.createDataFrame(docs, DOCS), 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = [f for f in os.listdir(f"{tmp_path}/out/rows/batch=0") if f.endswith(".parquet")]
+    assert len(files) == 3  # as many as there are shuffle partitions
+    assert packer.blocks(spark).count() == (400 * 101 - 1) // 64
+
+
 def test_stream_encodes_like_a_batch(spark, tmp_path):
     docs, folder, out = texts(20), str(tmp_path / "in"), str(tmp_path / "out")
     add_file(spark, folder, "a", list(enumerate(docs)), DOCS, 1)
@@ -97,46 +105,3 @@ def test_live_metrics_equal_the_whole_log(spark, tmp_path, ranges):
     last = spark.createDataFrame(rows[22:], ROW_SCHEMA)
     live(last, 2)  # a batch that is delivered again changes nothing
     assert sorted(tuple(r) for r in live.rows(spark).collect()) == before
-
-
-class State:
-    exists = False
-
-    def update(self, value):
-        self.exists, self.get = True, value
-
-
-@pytest.mark.parametrize("as_bytes", [True, False])
-@pytest.mark.parametrize("limit", [None, 1500])
-def test_a_shard_is_not_held_in_memory(monkeypatch, as_bytes, limit):
-    for name, value in (("RUN_BYTES", 200_000), ("MAX_RUNS", 4), ("CUT_BYTES", 100_000)):
-        monkeypatch.setattr(pack, name, value, raising=False)
-    docs, block = 4000, 1024
-
-    def doc(k):
-        return bytes([k % 251]) * (1500 + k % 100)
-
-    keys = random.Random(4).sample(range(docs), docs)
-
-    def chunks(part):
-        for at in range(0, len(part), 50):
-            own = [doc(k) for k in part[at : at + 50]]
-            yield pd.DataFrame({"k": part[at : at + 50], "tokens": own if as_bytes else [np.frombuffer(d, np.uint8).astype(np.int32) for d in own]})
-
-    state, ids, digest, most = State(), [], hashlib.md5(), 0
-    tracemalloc.start()
-    for part in ([k for k in keys if k < 3000], [k for k in keys if k >= 3000]):
-        for frame in pack._pack_shard((7,), chunks(part), state, block, "k", limit, as_bytes):
-            ids += frame["block_id"].tolist()
-            most = max(most, len(frame))
-            for chunk in frame["chunk"]:
-                digest.update(chunk if as_bytes else np.asarray(chunk).astype(np.uint8).tobytes())
-    peak = tracemalloc.get_traced_memory()[1]
-    tracemalloc.stop()
-    whole = b"".join(map(doc, range(docs)))
-    n = min((len(whole) - 1) // block, limit or len(whole))
-    want = hashlib.md5(b"".join(whole[b * block : (b + 1) * block + 1] for b in range(n)))
-    assert ids == list(range(n)) and digest.digest() == want.digest()
-    assert most < 200 and peak < len(whole) / 2
-    if limit is None:
-        assert bytes(state.get[0]) == whole[n * block :] and state.get[1] == n
