@@ -130,6 +130,34 @@ def tree_path_rows(messages: DataFrame, lang: str | None = None, min_turns: int
     return lookup(chains, depth, "id", "__n").select("path", "pos", "id")
 
 
+def recursive_path_rows(
+    messages: DataFrame, lang: str | None = None, min_turns: int = 2, most_levels: int = 10_000, most_rows: int = 1_000_000_000,
+) -> DataFrame:
+    """What :func:`tree_path_rows` gives, by Spark's recursive queries: one level of replies a round.
+
+    For flat forests, which take few rounds and no jump tables; it is the caller's choice, and each
+    row carries the ids from its root. A reply chain of more than ``most_levels`` or a walk of more than ``most_rows``
+    rows is an error and never a shorter result.
+    """
+    spark = messages.sparkSession
+    nodes = cut_lineage(messages.select("message_id", "parent_id", _wanted_root(messages, lang).alias("wanted")))
+    limit = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(most_rows))
+    try:
+        walked = cut_lineage(spark.sql(f"""
+            WITH RECURSIVE walk(id, ids) MAX RECURSION LEVEL {most_levels} AS (
+              SELECT message_id, array(message_id) FROM {{nodes}} WHERE parent_id IS NULL AND wanted
+              UNION ALL
+              SELECT n.message_id, array_append(w.ids, n.message_id) FROM walk w JOIN {{nodes}} n ON n.parent_id = w.id)
+            SELECT id, ids FROM walk""", nodes=nodes))
+    finally:
+        spark.conf.set(limit, before)
+    replied = nodes.select(F.col("parent_id").alias("__replied")).where(F.col("__replied").isNotNull()).distinct()
+    ends = walked.join(replied, F.col("id") == F.col("__replied"), "left_anti").where(F.size("ids") >= min_turns)
+    return ends.select(F.col("id").alias("path"), F.posexplode("ids").alias("pos", "id")).withColumn("pos", F.col("pos").cast("long"))
+
+
 def first_child_path_rows(messages: DataFrame, min_turns: int = 2) -> DataFrame:
     """One path per root, always through the earliest reply: ``path`` (the root's id), ``pos``, ``id``."""
     hops = (

@@ -35,6 +35,25 @@ def test_random_forest_equals_depth_first_walk(spark, ranges, seed):
     assert got == sorted(models.paths(rows))
 
 
+def test_recursive_queries_give_the_same_paths(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(120):
+        some = rng.choice([f"m{rng.randint(0, max(i - 1, 0))}"] * 9 + [f"m{i - 1}"] * 9 + ["nowhere"])
+        parent = None if i < 6 or rng.random() < 0.1 else some
+        rows.append((i, f"m{i}", parent, rng.choice(["en", "de", None]) if parent is None else "en"))
+    rows += [(200, "c1", "c2", "en"), (201, "c2", "c1", "en")]
+    df = forest(spark, rows).repartition(3)
+    for lang, turns in ((None, 2), ("en", 2), ("en", 4)):
+        want = sorted(map(tuple, trees.tree_path_rows(df, lang, turns).collect()))
+        assert want and sorted(map(tuple, trees.recursive_path_rows(df, lang, turns).collect())) == want
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    for limits in ({"most_levels": 2}, {"most_rows": 20}):
+        with pytest.raises(Exception, match="RECURSION_.*LIMIT"):
+            trees.recursive_path_rows(df, **limits)
+    assert spark.conf.get("spark.sql.cteRecursionRowLimit") == before
+
+
 def test_odd_input(spark):
     rows = [
         (0, "alone", None, "en"),
