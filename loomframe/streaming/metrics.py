@@ -12,27 +12,42 @@ from loomframe.operators.runs import smooth_metric, step_throughput
 ROW_SCHEMA = "run string, step long, loss double, elapsed_sec double, tokens_seen long"
 
 
+#: Parts that the state of the runs is kept in; a batch reads and writes those of its runs only.
+PARTS = 256
+
+
 class LiveMetrics:
     """Merges each micro-batch with the end of what came before.
 
-    The state is a table: the last ``width - 1`` rows of every run and the best loss so far. Batch n
-    reads the state batch n-1 left and overwrites its own folders, so a batch that is repeated
-    after a failure gives the same rows. All work is done by the batch operators, which split a run
-    that dominates a batch.
+    The state of a run is its last ``width - 1`` rows and its best loss so far. Runs are dealt to
+    ``PARTS`` parts by hash; batch n reads the parts of the runs it holds, writes these anew, and an index
+    of at most ``PARTS`` lines says which batch wrote the newest version of each part. A batch that is repeated after
+    a failure reads the index of batch n-1 and overwrites its own folders, so it gives the same rows. All
+    work is done by the batch operators, which split a run that dominates a batch.
     """
 
     def __init__(self, path: str, tokens_per_step: int, width: int = 100):
         self.path, self.tokens_per_step, self.width = path, tokens_per_step, width
 
-    def _state(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def _index(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
+        """Of each part, the batch that wrote its newest version."""
         if batch_id < 0:
-            return spark.createDataFrame([], ROW_SCHEMA + ", best double")
-        return spark.read.schema(ROW_SCHEMA + ", best double").parquet(f"{self.path}/state/{batch_id}")
+            return {}
+        lines = spark.read.text(f"{self.path}/index/{batch_id}").collect()
+        return dict(tuple(map(int, line[0].split())) for line in lines)
+
+    def _folder(self, part: int, batch_id: int) -> str:
+        return f"{self.path}/state/{batch_id}/part={part}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = ["run", "step", "loss", "elapsed_sec", "tokens_seen"]
-        state = self._state(spark, batch_id - 1)
+        part = F.pmod(F.xxhash64("run"), F.lit(PARTS)).cast("int")
+        index = self._index(spark, batch_id - 1)
+        touched = [r[0] for r in batch.select(part.alias("part")).distinct().collect()]
+        held = [self._folder(p, index[p]) for p in touched if p in index]
+        schema = ROW_SCHEMA + ", best double"
+        state = spark.read.schema(schema).parquet(*held) if held else spark.createDataFrame([], schema)
         rows = state.select(*columns, F.lit(False).alias("is_new")).unionByName(
             batch.select(*columns, F.lit(True).alias("is_new"))
         )
@@ -57,15 +72,23 @@ class LiveMetrics:
             new.select(*columns).unionByName(state.select(*columns))
             .withColumn("__rn", F.row_number().over(newest)).where(F.col("__rn") < max(self.width, 2)).drop("__rn")
         )
-        tail.join(lowest, tail["run"] == lowest["__run"]).select(*columns, "best").write.mode("overwrite").parquet(
-            f"{self.path}/state/{batch_id}"
+        kept = tail.join(lowest, tail["run"] == lowest["__run"]).select(*columns, "best", part.alias("part"))
+        kept.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/state/{batch_id}")
+        after = index | {p: batch_id for p in touched}
+        spark.createDataFrame([(f"{p} {n}",) for p, n in sorted(after.items())], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{self.path}/index/{batch_id}"
         )
-        self._forget(spark, batch_id - 2)
+        # versions that batch n-1 replaced: no repeated batch can ask for them any more
+        old_index = f"{self.path}/index/{batch_id - 2}"
+        if batch_id > 1 and self._on_disk(spark, old_index, "exists"):
+            for p, n in self._index(spark, batch_id - 2).items():
+                if index.get(p) != n:
+                    self._on_disk(spark, self._folder(p, n), "delete", True)
+            self._on_disk(spark, old_index, "delete", True)
 
-    def _forget(self, spark: SparkSession, batch_id: int) -> None:
-        """Delete a state that no repeated batch can ask for any more."""
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/state/{batch_id}")
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    def _on_disk(self, spark: SparkSession, path: str, what: str, *more: bool) -> bool:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return getattr(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), what)(place, *more)
 
     def run(self, stream: DataFrame) -> None:
         """Process everything that is there and stop; a second call resumes."""

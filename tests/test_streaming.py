@@ -105,3 +105,25 @@ def test_live_metrics_equal_the_whole_log(spark, tmp_path, ranges):
     last = spark.createDataFrame(rows[22:], ROW_SCHEMA)
     live(last, 2)  # a batch that is delivered again changes nothing
     assert sorted(tuple(r) for r in live.rows(spark).collect()) == before
+
+
+def test_a_batch_writes_the_state_of_its_own_runs(spark, tmp_path):
+    live = LiveMetrics(str(tmp_path / "out"), 100, width=5)
+    runs = [f"run {i}" for i in range(20)]
+
+    def batch(number, names):
+        rows = [(run, number * 3 + s, 1.0 + s, s * 2.0, s * 100) for run in names for s in range(3)]
+        live(spark.createDataFrame(rows, ROW_SCHEMA), number)
+        return len([f for f in os.listdir(f"{live.path}/state/{number}") if f.startswith("part=")])
+
+    many = batch(0, runs)
+    assert many > 10 and [batch(n, ["run 7"]) for n in (1, 2, 3)] == [1, 1, 1]
+    assert len(os.listdir(f"{live.path}/index")) == 2  # and what no batch can ask for is gone
+    assert not [f for f in os.listdir(f"{live.path}/state/1") if f.startswith("part=")]
+    assert batch(4, ["run 3"]) == 1
+    got = {(r.run, r.step): r.smooth_loss for r in live.rows(spark).where("run in ('run 3', 'run 7')").collect()}
+    for run, numbers in (("run 7", (0, 1, 2, 3)), ("run 3", (0, 4))):
+        losses = [(n * 3 + s, 1.0 + s) for n in numbers for s in range(3)]
+        for i, (step, _) in enumerate(losses):
+            part = [v for _, v in losses[max(0, i - 4) : i + 1]]
+            assert got[run, step] == pytest.approx(sum(part) / len(part))
