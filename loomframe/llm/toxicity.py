@@ -238,7 +238,7 @@ def learn(
             )
 
     schema = "label int, " + ", ".join(f"{n} double" for n in FEATURES)
-    found = sample.mapInArrow(measure, schema).orderBy("label", *FEATURES).toPandas()
+    found = sample.mapInArrow(measure, schema).toPandas().sort_values(["label", *FEATURES])  # sums in one order, whatever the tasks
     return ToxicModel(weights, _curve(found[list(FEATURES)].to_numpy(float), found["label"].to_numpy(float) > 0))
 
 
