@@ -240,7 +240,9 @@ FROM best""")
 def metrics_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluations written as CSV, an infinite best among them, and read back."""
     best = runs.running_best(eval_log(train_log(spark, sf_dir)), rows=event_count(spark, sf_dir))
-    stamped = best.withColumn("timestamp", F.timestamp_seconds(F.lit(1704067200) + F.col("elapsed_sec")))
+    # whole microseconds: start and clock added as doubles lose the last one
+    micros = F.lit(1_704_067_200_000_000) + F.round(F.col("elapsed_sec") * 1e6).cast("long")
+    stamped = best.withColumn("timestamp", F.timestamp_micros(micros))
     path = work_path(spark, "metrics")
     written = stamped.select(*[
         F.when(F.col(c) == numbers.INFINITY, "inf").otherwise(F.col(c).cast("string")).alias(c) if c == "best_val_loss" else c

@@ -42,3 +42,20 @@ def test_query(spark, db, name):
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(df.columns)
     assert compare(got, rows_of(names, result.fetchall())) == "ok"
+
+
+def same_as_sql(spark, name, events, tmp_path):
+    """A query over the given events (rows in SQL) against its own SQL."""
+    connection = duckdb.connect()
+    connection.execute(f"COPY ({events}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    df = entry.queries()[name](spark, str(tmp_path))
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    result = connection.execute(entry.oracle_sql()[name])
+    return compare(got, rows_of([c[0] for c in result.description], result.fetchall()))
+
+
+def test_metrics_scan_keeps_every_microsecond_of_a_long_log(spark, tmp_path):
+    events = f"""SELECT event_id + 1000 * k AS event_id, ts + to_days(400 * k::INTEGER) AS ts, user_id, event_type, value, props
+    FROM '{SF_DIR}/events.parquet', range(4) t(k)"""
+    assert same_as_sql(spark, "metrics_scan", events, tmp_path) == "ok"
