@@ -19,18 +19,27 @@ from loomframe.session import cut_lineage
 RUN, STEP = "run", "step"
 #: Values from here on are not averaged by running sums.
 LARGEST = 1e15
-_POS = "__pos"
+POSITION = _POS = "__pos"
+
+
+def in_order(log: DataFrame, order: Sequence[str] = (STEP,), rows: int | None = None) -> DataFrame:
+    """Number the rows of each run once, so that several measures see rows of one step in one order.
+
+    ``smooth_metric`` and ``step_throughput`` take and keep these numbers; ``POSITION`` orders the others.
+    """
+    return row_index(log, order, _POS, [RUN], rows)
 
 
 def _series(log: DataFrame, values: dict[str, Column], width: int, order: Sequence[str], rows: int | None) -> DataFrame:
-    indexed = log if _POS in log.columns else row_index(log, order, _POS, [RUN], rows)
-    return trailing(indexed, _POS, width, values, [RUN])
+    numbered = _POS in log.columns
+    series = trailing(log if numbered else in_order(log, order, rows), _POS, width, values, [RUN])
+    return series if numbered else series.drop(_POS)
 
 
 def smooth_metric(log: DataFrame, metric: str = "loss", width: int = 100, name: str = "smooth_loss",
                   order: Sequence[str] = (STEP,), rows: int | None = None) -> DataFrame:
     """Mean of the last ``width`` logged values."""
-    return _series(log, {name: F.avg(metric)}, width, order, rows).drop(_POS)
+    return _series(log, {name: F.avg(metric)}, width, order, rows)
 
 
 def step_throughput(log: DataFrame, tokens_per_step: int, order: Sequence[str] = (STEP,),
@@ -48,7 +57,7 @@ def step_throughput(log: DataFrame, tokens_per_step: int, order: Sequence[str] =
             "tokens_per_sec": safe_divide(F.lit(float(tokens_per_step)), gap),
             "corrected": safe_divide((F.col("tokens_seen") - F.col("__seen")).cast("double"), gap),
         }
-    ).drop("__t", "__seen", _POS)
+    ).drop("__t", "__seen")
 
 
 def adaptive_smooth(log: DataFrame, metric: str = "grad_norm", max_window: int = 50, divisor: int = 4,
@@ -100,7 +109,7 @@ def running_best(evals: DataFrame, metric: str = "val_loss", order: Sequence[str
 
 def attempts(log: DataFrame, order: Sequence[str], rows: int | None = None) -> DataFrame:
     """Number the attempts of a run: a new one starts where the clock falls back."""
-    paired = _series(log, {"__t": F.first("elapsed_sec")}, 2, order, rows).drop(_POS)
+    paired = _series(log, {"__t": F.first("elapsed_sec")}, 2, order, rows)
     restarted = F.when(F.col("elapsed_sec") < F.col("__t"), 1).otherwise(0).cast("long")
     return running(paired, order, {"attempt_id": Running("sum", restarted)}, [RUN], rows).drop("__t")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomframe.operators.joins import lookup
 from loomframe.operators.ordering import Running, running
-from loomframe.operators.runs import smooth_metric, step_throughput
+from loomframe.operators.runs import POSITION, in_order, smooth_metric, step_throughput
 
 ROW_SCHEMA = "run string, step long, loss double, elapsed_sec double, tokens_seen long"
 
@@ -52,9 +52,10 @@ class LiveMetrics:
             batch.select(*columns, F.lit(True).alias("is_new"))
         )
         total = rows.count()
-        smoothed = step_throughput(smooth_metric(rows, width=self.width, rows=total), self.tokens_per_step, rows=total)
+        numbered = in_order(rows, rows=total)
+        smoothed = step_throughput(smooth_metric(numbered, width=self.width), self.tokens_per_step)
         best = running(
-            smoothed, ["step"], {"seen_best": Running("min", F.col("loss"), current=False)}, ["run"], total
+            smoothed, [POSITION], {"seen_best": Running("min", F.col("loss"), current=False)}, ["run"], total
         )
         earlier = state.groupBy(F.col("run").alias("__run")).agg(F.min("best").alias("before"))
         known = F.least("before", "seen_best")

@@ -59,3 +59,14 @@ def test_metrics_scan_keeps_every_microsecond_of_a_long_log(spark, tmp_path):
     events = f"""SELECT event_id + 1000 * k AS event_id, ts + to_days(400 * k::INTEGER) AS ts, user_id, event_type, value, props
     FROM '{SF_DIR}/events.parquet', range(4) t(k)"""
     assert same_as_sql(spark, "metrics_scan", events, tmp_path) == "ok"
+
+
+def test_stream_metrics_has_one_order_for_rows_of_one_step(spark, tmp_path):
+    events = """SELECT i // 700 AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i // 700 * 3) AS ts, 1::BIGINT AS user_id, 'a' AS event_type,
+    1 + i // 700 * 7919 % 1000 / 10 AS value, NULL::VARCHAR AS props FROM range(100000) t(i)"""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # frames of one step then end up in several tasks
+    try:
+        assert same_as_sql(spark, "stream_metrics", events, tmp_path) == "ok"
+    finally:
+        spark.conf.set(coalesce, "true")
