@@ -7,6 +7,7 @@ cut without a scan; integers are made once, at the end.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -21,12 +22,15 @@ from pyspark.sql import types as T
 # the byte 0xFF, which no valid UTF-8 text contains.
 BYTE_END = 256
 END_MARK = 0xFF
+# Bytes of text, or tokens, that a Python worker turns into results at a time; a longer row goes alone
+SLICE_VALUES = 1 << 20
 
 
 class Carrier(Protocol):
     end: int
 
     def from_text(self, text: Column) -> Column: ...
+    def from_literal(self, text: str) -> Column: ...
     def text_count(self, text: Column) -> Column: ...
     def ending(self) -> Column: ...
     def count(self, tokens: Column) -> Column: ...
@@ -43,6 +47,9 @@ class ByteCarrier:
     def from_text(self, text: Column) -> Column:
         return F.make_valid_utf8(text).cast("binary")
 
+    def from_literal(self, text: str) -> Column:
+        return F.lit(text.encode())
+
     def text_count(self, text: Column) -> Column:
         return F.octet_length(F.make_valid_utf8(text)).cast("long")
 
@@ -62,11 +69,47 @@ class ByteCarrier:
         return F.array_join(F.transform(pieces, lambda p: p.cast("string")), "").cast("binary")
 
     def ids(self, tokens: Column) -> Column:
-        return F.arrow_udf(_bytes_to_ids, T.ArrayType(T.IntegerType()))(tokens)
+        return sliced_udf(_bytes_to_ids, T.ArrayType(T.IntegerType()))(tokens)
+
+
+def _values(column: pa.Array) -> np.ndarray:
+    """What each row holds: bytes of a string, elements of a list, bytes and pieces of a list of strings."""
+    if not pa.types.is_list(column.type):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not pa.types.is_string(column.type.value_type):
+        return lengths
+    held = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column.flatten()), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return np.diff(held[ends]) + lengths
+
+
+def slices(column: pa.Array, limit: int = SLICE_VALUES) -> Iterator[pa.Array]:
+    """Runs of rows that hold about ``limit`` values."""
+    sizes = _values(column)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // limit)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(column)]):
+        if end > start:
+            yield column.slice(start, end - start)
+
+
+def sliced_udf(convert: Callable[[pa.Array], pa.Array], dtype: T.DataType) -> Callable[[Column], Column]:
+    """``convert`` over slices of Arrow batches.
+
+    Spark bounds the batches that it sends, by rows and bytes. Results are several times as large, so they
+    are made and sent back slice by slice, and a worker holds no more of them however long the texts are.
+    """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            yield from map(convert, slices(column))
+            del column  # before the next one is read
+
+    return F.arrow_udf(run, dtype)
 
 
 def _bytes_to_ids(column: pa.Array) -> pa.Array:
-    """Widen a whole batch of byte strings at once; nothing runs per row."""
+    """Widen a slice of byte strings at once; nothing runs per row."""
     column = column.cast(pa.binary())
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
@@ -98,6 +141,9 @@ class ArrayCarrier:
     def from_text(self, text: Column) -> Column:
         raise TypeError("encode the text first: token arrays cannot be made inside an expression")
 
+    def from_literal(self, text: str) -> Column:
+        return self.from_text(F.lit(text))
+
     def text_count(self, text: Column) -> Column:
         raise TypeError("encode the text first: token arrays cannot be made inside an expression")
 
@@ -130,4 +176,4 @@ def encode_bytes(text: Column) -> Column:
 
 def decode_bytes(ids: Column) -> Column:
     """Text of a byte-token array, separators left out."""
-    return F.make_valid_utf8(F.arrow_udf(_ids_to_bytes, T.BinaryType())(ids).cast("string"))
+    return F.make_valid_utf8(sliced_udf(_ids_to_bytes, T.BinaryType())(ids).cast("string"))

@@ -1,10 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomframe.functions.text import drop_blank
-from loomframe.operators import packing
+from loomframe.operators import packing, tokens
 from loomframe.operators.tokens import BYTES, ArrayCarrier, decode_bytes, encode_bytes
 from tests import models
 
@@ -85,3 +86,32 @@ def test_bytes_come_back_as_text(spark):
     for row in docs.collect():
         assert row.back == row.text
         assert row.ids == (None if row.text is None else [*row.text.encode(), 256])
+
+
+def long_texts(spark):
+    """One partition with 12 MB of text, which Spark sends in one batch."""
+    return spark.range(0, 3_000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 1_400).alias("text"))
+
+
+def test_tokens_are_made_in_slices_of_bounded_size(spark, monkeypatch):
+    made = long_texts(spark).withColumn("ids", encode_bytes(F.col("text")))
+    assert made.agg(F.min(F.size("ids")), F.max(F.size("ids"))).first() == (4_201, 4_201)
+
+    def held(column):
+        return sum(len(v) for v in column.to_pylist())
+
+    # in place of the conversions: how many values the slice of a row holds
+    monkeypatch.setattr(tokens, "_bytes_to_ids", lambda column: pa.array([[held(column)]] * len(column), pa.list_(pa.int32())))
+    assert long_texts(spark).agg(F.max(encode_bytes(F.col("text"))[0])).first()[0] <= (1 << 20) + 4_201
+    monkeypatch.setattr(tokens, "_ids_to_bytes", lambda column: pa.array([b"%09d" % held(column)] * len(column), pa.binary()))
+    ids = F.array_repeat(F.lit(97), 4_200)
+    assert int(long_texts(spark).agg(F.max(decode_bytes(ids))).first()[0]) <= (1 << 20) + 4_200
+
+
+def test_rows_of_any_size_are_sliced_without_loss():
+    texts = [None, "", "x" * 30, "y", None, "z" * 9, ""]
+    for column in (pa.array(texts), pa.array(texts).slice(2), *[pa.array([None if t is None else value(t) for t in texts]) for value in (lambda t: [t, t], lambda t: [1] * len(t))]):
+        parts = list(tokens.slices(column, 10))
+        assert [v for part in parts for v in part.to_pylist()] == column.to_pylist()
+        assert len(parts) > 1 and all(len(part) for part in parts)
+    assert not list(tokens.slices(pa.array([], pa.string())))
