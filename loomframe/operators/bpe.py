@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomframe.operators.tokens import ArrayCarrier
+from loomframe.operators.tokens import ArrayCarrier, sliced_udf
 
 # Fixed value: the public pre-tokenizer pattern of the byte-pair vocabularies this reads
 PIECE_PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY = 500_000
-# Pieces a worker remembers before it starts anew
+# Pieces a worker remembers before it starts anew, and the longest it remembers
 REMEMBERED = 200_000
+REMEMBERED_CHARS = 64
 
 
 @dataclass(frozen=True)
@@ -95,13 +96,16 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary) -> Callable[[Column], C
             met_before.clear()
         ids = []
         for piece in met.dictionary.to_pylist():
-            if piece not in met_before:
-                met_before[piece] = merge(piece.encode("utf-8"), ranks.value)
-            ids.append(met_before[piece])
+            found = met_before.get(piece)
+            if found is None:
+                found = merge(piece.encode("utf-8"), ranks.value)
+                if len(piece) <= REMEMBERED_CHARS:
+                    met_before[piece] = found
+            ids.append(found)
         spelled = pa.array(ids, pa.list_(pa.int32())).take(met.indices)
         return _regroup(column, spelled, spelled.flatten())
 
-    udf = F.arrow_udf(ids_of, T.ArrayType(T.IntegerType()))
+    udf = sliced_udf(ids_of, T.ArrayType(T.IntegerType()))
     return lambda text: udf(pieces(F.coalesce(text, F.lit(""))))
 
 
@@ -110,16 +114,25 @@ class MergedCarrier(ArrayCarrier):
     """Byte-pair tokens wherever a carrier is asked for: segments are encoded one by one and joined."""
 
     encode: Callable[[Column], Column]
+    spell: Callable[[str], list[int]]
 
     def from_text(self, text: Column) -> Column:
         return self.encode(text)
 
+    def from_literal(self, text: str) -> Column:
+        return F.array(*[F.lit(i) for i in self.spell(text)]).cast("array<int>")
+
     def text_count(self, text: Column) -> Column:
         return self.count(self.encode(text))
 
 
 def carrier(spark: SparkSession, vocabulary: Vocabulary) -> MergedCarrier:
-    return MergedCarrier(vocabulary.end, encoder(spark, vocabulary))
+    def spell(text: str) -> list[int]:
+        """Tokens of a marker, made once on the driver."""
+        cut = spark.range(1).select(pieces(F.lit(text)).alias("p")).first().p
+        return [i for piece in cut for i in merge(piece.encode("utf-8"), vocabulary.ranks)]
+
+    return MergedCarrier(vocabulary.end, encoder(spark, vocabulary), spell)
 
 
 def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, ending: bool = True) -> DataFrame:
@@ -142,13 +155,17 @@ def decode(encoded: DataFrame, key: str, vocabulary: Vocabulary) -> DataFrame:
         words[rank] = token
     shipped = encoded.sparkSession.sparkContext.broadcast(words)
 
+    table: list[pa.Array] = []
+
     def bytes_of(column: pa.Array) -> pa.Array:
-        spelled = pa.array(shipped.value, pa.binary()).take(column.flatten())
+        if not table:
+            table.append(pa.array(shipped.value, pa.binary()))
+        spelled = table[0].take(column.flatten())
         ends = np.frombuffer(spelled.buffers()[1], np.int32)[: len(spelled) + 1]
         per_row = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
         return pa.Array.from_buffers(
             pa.binary(), len(column), [None, pa.py_buffer(ends[per_row].astype(np.int32)), spelled.buffers()[2]]
         )
 
-    raw = F.arrow_udf(bytes_of, T.BinaryType())(F.col("tokens"))
+    raw = sliced_udf(bytes_of, T.BinaryType())(F.col("tokens"))
     return encoded.select(key, F.make_valid_utf8(raw.cast("string")).alias("text"))
