@@ -72,18 +72,21 @@ def rendered(role: Column, text: Column) -> Column:
     return F.array_join(F.transform(segments(role, text), lambda s: s["text"]), "")
 
 
-def _turn_tokens(carrier: Carrier, role: Column, text: Column, trained: Column) -> tuple[Column, Column]:
-    """Tokens of a turn, and how many of them at its front carry no loss."""
-    asked = carrier.concat(
-        *[carrier.from_text(t) for t in (F.lit(USER_MARK), F.concat(F.lit("\n"), text, F.lit("\n")))]
-    )
-    lead = [carrier.from_text(F.lit(ASSISTANT_MARK)), carrier.from_text(F.lit("\n"))]
-    rest = [carrier.from_text(text), carrier.from_text(F.lit("\n")), carrier.from_text(F.lit(END_MARK))]
-    tokens = F.when(role == PROMPTER, asked).otherwise(carrier.concat(*lead, *rest))
-    masked = F.when((role == PROMPTER) | (trained == 0), carrier.count(tokens)).otherwise(
-        carrier.count(carrier.concat(*lead))
+def _with_tokens(turns: DataFrame, carrier: Carrier, key: str, order: str, others: tuple[str, ...] | None) -> DataFrame:
+    """``key, order, tokens, masked``: tokens of each turn, and how many of them at its front carry no loss.
+
+    Markers are literals and a turn's own segment is encoded once, whatever its role.
+    """
+    text, asks = F.coalesce("text", F.lit("")), F.col("role") == PROMPTER
+    own = F.when(asks, F.concat(F.lit("\n"), text, F.lit("\n"))).otherwise(text)
+    said = turns.select(key, order, "role", carrier.from_text(own).alias("own"))
+    user, assistant, line, end = [carrier.from_literal(t) for t in (USER_MARK, ASSISTANT_MARK, "\n", END_MARK)]
+    tokens = F.when(asks, carrier.concat(user, F.col("own"))).otherwise(carrier.concat(assistant, line, F.col("own"), line, end))
+    whole_turn = asks | (is_trained(F.col("role"), others) == 0)
+    lead = carrier.count(carrier.concat(assistant, line))
+    return said.select(key, order, whole_turn.alias("whole_turn"), tokens.alias("tokens")).select(
+        key, order, "tokens", F.when(F.col("whole_turn"), carrier.count(F.col("tokens"))).otherwise(lead).alias("masked")
     )
-    return tokens, masked
 
 
 def _cut_to_block(turns: DataFrame, carrier: Carrier, block: int, key: str, order: str,
@@ -116,9 +119,7 @@ def sft_examples(
 
     Long conversations lose their end, short ones are padded; labels are -1 wherever there is no loss.
     """
-    tokens, masked = _turn_tokens(carrier, F.col("role"), F.coalesce("text", F.lit("")), is_trained(F.col("role"), others))
-    encoded = turns.select(key, order, tokens.alias("tokens"), masked.alias("masked"))
-    return examples_from_tokens(encoded, carrier, block, key, order, rows)
+    return examples_from_tokens(_with_tokens(turns, carrier, key, order, others), carrier, block, key, order, rows)
 
 
 def examples_from_tokens(
